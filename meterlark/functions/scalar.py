@@ -80,10 +80,9 @@ def equal_rate(matches: Column) -> Column:
     return F.avg(F.when(matches, 100.0).otherwise(0.0))
 
 
-def pearson(a: Column, b: Column) -> Column:
-    """Correlation over the rows where both sides are present; NULL when either side is constant.
+def pearson(a: str, b: str) -> Column:
+    """Correlation of two columns without NULLs; NULL when either is constant.
 
     `corr` would raise on a constant side under ANSI rules.
     """
-    spread = F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
-    return F.try_divide(F.regr_sxy(a, b), spread)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlark.operators.profile import with_fences
-from meterlark.operators.quantiles import exact_quantiles
-from meterlark.operators.ranking import top_categories
+from meterlark.operators.quantiles import MAX_ROWS_PER_TASK, exact_quantiles
+from meterlark.session import materialize
 
 
 def _bounds(values: DataFrame, value: str) -> Column:
@@ -76,12 +78,34 @@ def log_histogram(df: DataFrame, value: str, edges: int = 40) -> DataFrame:
     return _all_bins(values.withColumn("_b", raw), number, edge, raw, last)
 
 
-def _boxed_values(df: DataFrame, category: str, value: str, top: DataFrame, positive_only: bool) -> DataFrame:
+@dataclass(frozen=True)
+class _Boxes:
+    """The most frequent categories with their counts, their values, and their quartiles."""
+
+    top: DataFrame
+    values: DataFrame
+    quartiles: DataFrame
+
+
+def _boxes(
+    df: DataFrame, category: str, value: str, top_n: int, positive_only: bool, max_rows: int
+) -> _Boxes:
+    """Reads `df` three times in all, so write an expensive one first."""
     x = F.col(value)
-    kept = df.select(category, x.cast("double").alias(value)).where(
-        x > 0 if positive_only else x.isNotNull()
+    usable = x > 0 if positive_only else x.isNotNull()
+    counts = (
+        df.where(F.col(category).isNotNull())
+        .groupBy(category)
+        .agg(F.count("*").alias("n_in_category"), F.count_if(usable).alias("_usable"))
     )
-    return kept.join(top.select(category), category, "left_semi")
+    top = counts.orderBy(F.col("n_in_category").desc(), F.col(category).asc()).limit(top_n)
+    # Broadcast: at most top_n rows.
+    top = F.broadcast(materialize(top, "top"))
+    largest = top.agg(F.max("_usable")).first()[0] or 0
+    values = df.where(usable).join(top.select(category), category, "left_semi")
+    wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = exact_quantiles(values, value, wanted, [category], max_rows, largest)
+    return _Boxes(top.drop("_usable"), values, with_fences(quartiles))
 
 
 def box_stats(
@@ -90,46 +114,35 @@ def box_stats(
     value: str,
     top_n: int,
     positive_only: bool = False,
-    max_rows: int | None = None,
+    max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Box-plot numbers for the `top_n` most frequent categories.
 
     Whiskers end at the outermost values within 1.5 interquartile ranges of the box, and
     never inside the box. Values beyond them are counted as fliers.
     """
-    top = top_categories(df, category, top_n)
-    values = _boxed_values(df, category, value, top, positive_only)
-    limit = {} if max_rows is None else {"max_rows": max_rows}
-    quartiles = exact_quantiles(
-        values, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [category], **limit
-    )
-    # Broadcast: at most top_n rows.
-    boxes = F.broadcast(with_fences(quartiles))
+    boxes = _boxes(df, category, value, top_n, positive_only, max_rows)
     x = F.col(value)
     inside = x.between(F.col("lower_bound"), F.col("upper_bound"))
-    stats = (
-        values.join(boxes, category)
+    whiskers = (
+        boxes.values.join(F.broadcast(boxes.quartiles), category)
         .groupBy(category, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("_low"),
             F.max(F.when(inside, x)).alias("_high"),
             F.count_if(~inside).alias("n_fliers"),
         )
-        .select(
-            category,
-            "n",
-            "q1",
-            "median",
-            "q3",
-            F.least("_low", "q1").alias("whisker_low"),
-            F.greatest("_high", "q3").alias("whisker_high"),
-            "n_fliers",
-        )
     )
-    return (
-        top.withColumnRenamed("n_rows", "n_in_category")
-        .join(F.broadcast(stats), category, "left")
-        .withColumns({"n": F.coalesce("n", F.lit(0)), "n_fliers": F.coalesce("n_fliers", F.lit(0))})
+    return boxes.top.join(F.broadcast(whiskers), category, "left").select(
+        category,
+        "n_in_category",
+        F.coalesce("n", F.lit(0)).alias("n"),
+        "q1",
+        "median",
+        "q3",
+        F.least("_low", "q1").alias("whisker_low"),
+        F.greatest("_high", "q3").alias("whisker_high"),
+        F.coalesce("n_fliers", F.lit(0)).alias("n_fliers"),
     )
 
 
@@ -140,19 +153,13 @@ def box_fliers(
     top_n: int,
     key: str,
     positive_only: bool = False,
-    max_rows: int | None = None,
+    max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """The rows beyond the whiskers of `box_stats`."""
-    top = top_categories(df, category, top_n)
-    values = _boxed_values(df, category, value, top, positive_only)
-    limit = {} if max_rows is None else {"max_rows": max_rows}
-    boxes = with_fences(exact_quantiles(values, value, {"q1": 0.25, "q3": 0.75}, [category], **limit))
+    boxes = _boxes(df, category, value, top_n, positive_only, max_rows)
     x = F.col(value)
-    # Broadcast: at most top_n rows.
     return (
-        df.select(key, category, value)
-        .where(x > 0 if positive_only else x.isNotNull())
-        .join(F.broadcast(boxes), category)
+        boxes.values.join(F.broadcast(boxes.quartiles), category)
         .where((x < F.col("lower_bound")) | (x > F.col("upper_bound")))
         .select(key, category, value)
     )

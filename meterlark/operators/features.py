@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlark import schemas as S
@@ -149,28 +150,29 @@ def exact_split(
     Instead of sorting all rows, the largest hash of the test part is found by counting.
     Rows that share its leading digits are told apart by the whole hash. `key` is unique.
     """
-    digest = _digest(key, seed)
+    digest, text = _digest(key, seed), F.col(key).cast("string")
+    n = df.count()
+    n_test = math.ceil(n * test_share)
+    if n <= max_rows:
+        # Counted above: the one task of this window holds at most max_rows rows.
+        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(digest, text))
+        return df.withColumn("is_test", place <= n_test)
+
     # 13 hex digits are 52 bits, which a double holds exactly.
     leading = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     rows = df.select(leading.alias("_x"))
     sizes = rows.agg(F.count("*").alias("n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    n_test = F.ceil(F.col("n") * F.lit(test_share))
-    found = values_at_ranks(rows, sizes, (), F.array(n_test - 1), max_rows).first()
-    if found is None:
-        return df.withColumn("is_test", F.lit(False))
-    bound = found["_value"]
+    bound = values_at_ranks(rows, sizes, (), F.array(F.lit(n_test - 1)), max_rows).first()["_value"]
     below = rows.where(F.col("_x") < bound).count()
     last = (
-        df.select(digest.alias("d"), F.col(key).cast("string").alias("k"))
+        df.select(digest.alias("d"), text.alias("k"))
         .where(leading == bound)
         .orderBy("d", "k")
-        .limit(found["_rank"] + 1 - below)
+        .limit(n_test - below)
         .agg(F.max(F.struct("d", "k")))
         .first()[0]
     )
-    tied = (leading == bound) & (
-        (digest < last["d"]) | ((digest == last["d"]) & (F.col(key).cast("string") <= last["k"]))
-    )
+    tied = (leading == bound) & ((digest < last["d"]) | ((digest == last["d"]) & (text <= last["k"])))
     return df.withColumn("is_test", (leading < bound) | tied)
 
 

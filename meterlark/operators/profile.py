@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlark.functions import scalar as X
-from meterlark.operators.quantiles import exact_quantiles
+from meterlark.operators.quantiles import MAX_ROWS_PER_TASK, exact_quantiles
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -70,10 +70,9 @@ def missing_in(df: DataFrame, column: str) -> DataFrame:
     return missing_values(df.select(column), keep_complete=True)
 
 
-def describe(df: DataFrame, value: str, max_rows: int | None = None) -> DataFrame:
+def describe(df: DataFrame, value: str, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """One row: count, mean, sample deviation, minimum, quartiles, median and maximum."""
-    limit = {} if max_rows is None else {"max_rows": max_rows}
-    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, **limit)
+    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, max_rows=max_rows)
     packed = quartiles.select(F.struct("q1", "median", "q3")).scalar()
     x = F.col(value)
     return (
@@ -89,10 +88,9 @@ def describe(df: DataFrame, value: str, max_rows: int | None = None) -> DataFram
     )
 
 
-def fences(df: DataFrame, value: str, max_rows: int | None = None) -> DataFrame:
+def fences(df: DataFrame, value: str, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """One row: quartiles and the bounds 1.5 interquartile ranges beyond them."""
-    limit = {} if max_rows is None else {"max_rows": max_rows}
-    return with_fences(exact_quantiles(df, value, {"q1": 0.25, "q3": 0.75}, **limit))
+    return with_fences(exact_quantiles(df, value, {"q1": 0.25, "q3": 0.75}, max_rows=max_rows))
 
 
 def with_fences(quartiles: DataFrame) -> DataFrame:
@@ -102,7 +100,7 @@ def with_fences(quartiles: DataFrame) -> DataFrame:
     )
 
 
-def _with_bounds(df: DataFrame, value: str, max_rows: int | None) -> DataFrame:
+def _with_bounds(df: DataFrame, value: str, max_rows: int) -> DataFrame:
     bounds = fences(df, value, max_rows).select(F.struct("lower_bound", "upper_bound")).scalar()
     return df.withColumn("_bounds", bounds)
 
@@ -112,7 +110,7 @@ def _outside(value: str) -> Column:
     return (x < F.col("_bounds.lower_bound")) | (x > F.col("_bounds.upper_bound"))
 
 
-def outlier_summary(df: DataFrame, value: str, max_rows: int | None = None) -> DataFrame:
+def outlier_summary(df: DataFrame, value: str, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """One row: bounds, outlier count, and outlier percentage of the non-null values."""
     bounded = _with_bounds(df.select(value), value, max_rows)
     return bounded.agg(
@@ -123,28 +121,65 @@ def outlier_summary(df: DataFrame, value: str, max_rows: int | None = None) -> D
     ).withColumn("outlier_pct", F.try_divide(F.col("n_outliers"), F.col("n_values")) * 100)
 
 
-def outliers(df: DataFrame, value: str, columns: Sequence[str], max_rows: int | None = None) -> DataFrame:
+def outliers(df: DataFrame, value: str, columns: Sequence[str], max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """All rows outside the bounds, with the chosen columns."""
     wanted = df.select(*dict.fromkeys([*columns, value]))
     return _with_bounds(wanted, value, max_rows).where(_outside(value)).drop("_bounds")
 
 
 def largest_outliers(
-    df: DataFrame, value: str, columns: Sequence[str], k: int = 10, max_rows: int | None = None
+    df: DataFrame, value: str, columns: Sequence[str], k: int = 10, max_rows: int = MAX_ROWS_PER_TASK
 ) -> DataFrame:
     found = outliers(df, value, columns, max_rows)
     return found.orderBy(F.col(value).desc(), *columns).limit(k)
 
 
+def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Correlation of each pair over the rows where both sides are present.
+
+    Rows are spread to one row per pair and grouped by the pair. This stays in a small
+    generated loop and combines before the shuffle, which carries one row per pair and task;
+    one aggregate with three sums per pair was several times slower.
+    """
+    spread = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("_pair"),
+                        F.col(a).cast("double").alias("_a"),
+                        F.col(b).cast("double").alias("_b"),
+                    )
+                    for i, (a, b) in enumerate(pairs)
+                ]
+            )
+        )
+    )
+    present = spread.where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    measured = present.groupBy("_pair").agg(X.pearson("_a", "_b").alias("correlation"))
+    by_pair = measured.agg(
+        F.map_from_entries(F.collect_list(F.struct("_pair", "correlation"))).alias("_r")
+    )
+    return _to_rows(
+        by_pair,
+        [
+            F.struct(
+                F.lit(a).alias("column_a"),
+                F.lit(b).alias("column_b"),
+                F.try_element_at("_r", F.lit(i)).alias("correlation"),
+            )
+            for i, (a, b) in enumerate(pairs)
+        ],
+    )
+
+
 def target_correlations(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> DataFrame:
     """Correlation of the target with each other numeric column, strongest first."""
     others = [c for c in numeric_columns(df, exclude) if c != target]
-    measured = df.agg(*[X.pearson(F.col(target), F.col(c)).alias(c) for c in others])
-    rows = _to_rows(
-        measured,
-        [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("correlation")) for c in others],
+    rows = _correlations(df, [(target, c) for c in others])
+    return rows.select(F.col("column_b").alias("column_name"), "correlation").orderBy(
+        F.abs("correlation").desc_nulls_last(), "column_name"
     )
-    return rows.orderBy(F.abs("correlation").desc_nulls_last(), "column_name")
 
 
 def watchlist_correlations(df: DataFrame, target: str, watchlist: Sequence[str]) -> DataFrame:
@@ -156,19 +191,7 @@ def watchlist_correlations(df: DataFrame, target: str, watchlist: Sequence[str])
 def correlation_pairs(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Correlation of every pair of numeric columns, each pair once, in one pass."""
     names = numeric_columns(df, exclude)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    measured = df.agg(
-        *[X.pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    return _to_rows(
-        measured,
-        [
-            F.struct(
-                F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("correlation")
-            )
-            for i, (a, b) in enumerate(pairs)
-        ],
-    )
+    return _correlations(df, [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]])
 
 
 def match_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:

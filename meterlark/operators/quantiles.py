@@ -33,17 +33,24 @@ def exact_quantiles(
     probabilities: dict[str, float],
     by: Sequence[str] = (),
     max_rows: int = MAX_ROWS_PER_TASK,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row per group: `by`, the number of values `n`, and one column per named probability.
 
-    Linear interpolation between neighbours; NULL values are left out.
+    Linear interpolation between neighbours; NULL values are left out. Reads `df` at least
+    twice, so write an expensive one first. Pass the row count of the `largest` group where
+    it is known, to save counting.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    largest = rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest is None:
+        largest = rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= max_rows:
-        exact = [F.percentile("_x", F.lit(p)).alias(name) for name, p in probabilities.items()]
-        return rows.groupBy(*by).agg(F.count("*").alias("n"), *exact)
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
+        exact = rows.groupBy(*by).agg(F.count("*").alias("n"), F.percentile("_x", wanted).alias("_q"))
+        return exact.select(
+            *by, "n", *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
+        )
 
     sizes = rows.groupBy(*by).agg(
         F.count("*").alias("n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")

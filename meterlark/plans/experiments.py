@@ -14,6 +14,7 @@ from meterlark import schemas as S
 from meterlark.functions.scalar import is_close
 from meterlark.operators import features as FE
 from meterlark.operators.quantiles import exact_quantiles
+from meterlark.session import materialize
 
 BASELINE = "Median Baseline"
 METRICS = ("mae", "rmse", "r2")
@@ -108,6 +109,15 @@ def _estimators(forest: Forest) -> list[tuple[str, object, bool]]:
     ]
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a small frame one part per core. The models iterate over it many times.
+
+    A frame that is read in enough parts already is left alone, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 @dataclass(frozen=True)
 class FittedSet:
     """The encoder and models fitted on the training rows of one feature set."""
@@ -126,13 +136,15 @@ def fit_feature_set(
 ) -> FittedSet:
     """Fit the encoder once and each model on the training rows."""
     chosen = FE.FEATURE_SETS[feature_set]
-    train = FE.select_features(frame, feature_set, target, ["is_test"]).where(~F.col("is_test"))
+    train = FE.select_features(frame, feature_set, target, [S.KEY, "is_test"])
+    train = spread(train.where(~F.col("is_test")), S.KEY)
     FE.check_cardinality(train, chosen["categorical"])
     encoder = FE.build_encoder(chosen["categorical"], chosen["numeric"]).fit(train)
-    encoded = encoder.transform(train).select(
-        "features", F.col(target).alias("y"), F.log1p(target).alias("log_y")
+    encoded = (
+        encoder.transform(train)
+        .select("features", F.col(target).alias("y"), F.log1p(target).alias("log_y"))
+        .persist()
     )
-    encoded = encoded.persist()
     try:
         models = [
             (name, model.setLabelCol("log_y" if log else "y").fit(encoded), log)
@@ -145,11 +157,13 @@ def fit_feature_set(
 
 
 def predict(
-    fitted: FittedSet, frame: DataFrame, sequence: int = 0, target: str = S.TARGET
+    fitted: FittedSet, frame: DataFrame, middle: Column, sequence: int = 0, target: str = S.TARGET
 ) -> DataFrame:
-    """Predictions of the baseline and every fitted model for the test rows, one row per model."""
+    """Predictions of the baseline and every fitted model for the test rows, one row per model.
+
+    `middle` is the training median.
+    """
     test = fitted.encoder.transform(frame.where(F.col("is_test")))
-    middle = median_of(frame.where(~F.col("is_test")), target)
     entries = [(BASELINE, middle)]
     for i, (name, model, log) in enumerate(fitted.models):
         column = f"_p{i}"
@@ -182,17 +196,15 @@ def run_grid(
 ) -> DataFrame:
     """Test predictions of every model on every feature set.
 
-    `frame` comes from `prepare`. Feature sets share its split, so differences in the scores
-    come from the features and models.
+    `frame` comes from `prepare` and is written once. Feature sets share its split, so
+    differences in the scores come from the features and models.
     """
-    frame = frame.persist()
-    try:
-        fitted = [fit_feature_set(frame, name, forest, target, only) for name in feature_sets]
-    finally:
-        frame.unpersist()
+    frame = materialize(frame, "experiments")
+    middle = median_of(frame.where(~F.col("is_test")), target)
     grid = None
-    for i, one in enumerate(fitted):
-        part = predict(one, frame, i, target)
+    for i, name in enumerate(feature_sets):
+        fitted = fit_feature_set(frame, name, forest, target, only)
+        part = predict(fitted, frame, middle, i, target)
         grid = part if grid is None else grid.unionByName(part)
     return grid
 

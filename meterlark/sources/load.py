@@ -52,7 +52,7 @@ def insert_if_absent(
     """
     first = _first_per_key(batch, keys, order)
     if target is not None:
-        first = first.join(target.select(*keys), list(keys), "left_anti")
+        first = first.join(target.select(*keys).dropna(), list(keys), "left_anti")
     return first.unionByName(batch.where(~_all_present(keys)))
 
 

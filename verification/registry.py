@@ -46,6 +46,11 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.modeling_dataset(*tables(spark, sf_dir))
 
 
+def model_columns(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Columns of the modeling dataset, written once for queries that read them several times."""
+    return materialize(model_frame(spark, sf_dir).select(*columns), "model")
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.prepare(model_frame(spark, sf_dir))
 
@@ -330,7 +335,7 @@ def missing_target(spark, sf_dir):
 
 @register
 def describe_target(spark, sf_dir):
-    return rounded(profile.describe(model_frame(spark, sf_dir), S.TARGET))
+    return rounded(profile.describe(model_columns(spark, sf_dir, S.TARGET), S.TARGET))
 
 
 @register
@@ -382,66 +387,60 @@ def property_match_rates(spark, sf_dir):
 
 @register
 def iqr_summary(spark, sf_dir):
-    return rounded(profile.outlier_summary(model_frame(spark, sf_dir), S.TARGET))
+    return rounded(profile.outlier_summary(model_columns(spark, sf_dir, S.TARGET), S.TARGET))
 
 
 @register
 def iqr_outliers(spark, sf_dir):
-    return profile.outliers(
-        model_frame(spark, sf_dir), S.TARGET, [S.KEY, "primary_property_type"]
-    )
+    columns = [S.KEY, "primary_property_type"]
+    return profile.outliers(model_columns(spark, sf_dir, *columns, S.TARGET), S.TARGET, columns)
 
 
 @register
 def largest_outliers(spark, sf_dir):
-    return profile.largest_outliers(
-        model_frame(spark, sf_dir), S.TARGET, [S.KEY, "primary_property_type"]
-    )
+    columns = [S.KEY, "primary_property_type"]
+    return profile.largest_outliers(model_columns(spark, sf_dir, *columns, S.TARGET), S.TARGET, columns)
 
 
 @register
 def hist_equal_width(spark, sf_dir):
-    return rounded(distribution.equal_width_histogram(model_frame(spark, sf_dir), S.TARGET))
+    return rounded(distribution.equal_width_histogram(model_columns(spark, sf_dir, S.TARGET), S.TARGET))
 
 
 @register
 def hist_log(spark, sf_dir):
-    return rounded(distribution.log_histogram(model_frame(spark, sf_dir), S.TARGET))
+    return rounded(distribution.log_histogram(model_columns(spark, sf_dir, S.TARGET), S.TARGET))
 
 
 @register
 def box_stats_by_type(spark, sf_dir):
+    frame = model_columns(spark, sf_dir, "primary_property_type", S.TARGET)
     return rounded(
-        distribution.box_stats(
-            model_frame(spark, sf_dir), "primary_property_type", S.TARGET, 8, positive_only=True
-        )
+        distribution.box_stats(frame, "primary_property_type", S.TARGET, 8, positive_only=True)
     )
 
 
 @register
 def box_stats_by_city(spark, sf_dir):
-    return rounded(distribution.box_stats(model_frame(spark, sf_dir), "city", S.TARGET, 10))
+    frame = model_columns(spark, sf_dir, "city", S.TARGET)
+    return rounded(distribution.box_stats(frame, "city", S.TARGET, 10))
 
 
 @register
 def box_stats_by_large_type(spark, sf_dir):
+    buildings, energy = tables(spark, sf_dir)
+    joined = analysis.join_buildings(buildings, energy, ["primary_property_type"])
+    frame = materialize(joined.select("primary_property_type", S.TARGET), "typed")
     return rounded(
-        distribution.box_stats(
-            views.buildings(spark, sf_dir)
-            .join(views.energy(spark, sf_dir), S.KEY)
-            .select("primary_property_type", S.TARGET),
-            "primary_property_type",
-            S.TARGET,
-            3,
-            max_rows=SPLIT_ROWS,
-        )
+        distribution.box_stats(frame, "primary_property_type", S.TARGET, 3, max_rows=SPLIT_ROWS)
     )
 
 
 @register
 def box_fliers_by_type(spark, sf_dir):
+    frame = model_columns(spark, sf_dir, S.KEY, "primary_property_type", S.TARGET)
     return distribution.box_fliers(
-        model_frame(spark, sf_dir), "primary_property_type", S.TARGET, 8, S.KEY, positive_only=True
+        frame, "primary_property_type", S.TARGET, 8, S.KEY, positive_only=True
     )
 
 
@@ -497,8 +496,8 @@ def hash_split(spark, sf_dir):
 
 @register
 def exact_split(spark, sf_dir):
-    frame = features.drop_missing_target(model_frame(spark, sf_dir))
-    return features.exact_split(frame.select(S.KEY), S.KEY)
+    frame = features.drop_missing_target(model_frame(spark, sf_dir)).select(S.KEY)
+    return features.exact_split(materialize(frame, "keys"), S.KEY)
 
 
 @register
@@ -515,7 +514,7 @@ def label_check(spark, sf_dir):
 @register
 def onehot_features(spark, sf_dir):
     """Per test row: the width of its vector and how many of its categories are known."""
-    frame = prepared(spark, sf_dir)
+    frame = materialize(prepared(spark, sf_dir), "prepared")
     train, test = frame.where(~F.col("is_test")), frame.where(F.col("is_test"))
     encoder = features.build_encoder(features.CATEGORICAL).fit(train)
     entries = vector_to_array("features")
@@ -531,14 +530,15 @@ def onehot_features(spark, sf_dir):
 
 @register
 def median_baseline_metrics(spark, sf_dir):
-    return rounded(experiments.scores(experiments.median_predictions(prepared(spark, sf_dir))))
+    frame = materialize(prepared(spark, sf_dir).select(S.TARGET, "is_test"), "prepared")
+    return rounded(experiments.scores(experiments.median_predictions(frame)))
 
 
 @register
 def largest_errors_baseline(spark, sf_dir):
-    return rounded(
-        experiments.largest_errors(experiments.median_predictions(prepared(spark, sf_dir)))
-    )
+    frame = prepared(spark, sf_dir).select(*experiments.CONTEXT, S.TARGET, "is_test")
+    frame = materialize(frame, "prepared")
+    return rounded(experiments.largest_errors(experiments.median_predictions(frame)))
 
 
 _GRIDS: dict[tuple[str, str], DataFrame] = {}
