@@ -45,24 +45,24 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 def missing_values(df: DataFrame, keep_complete: bool = False) -> DataFrame:
     """NULL count and percentage per column with any, most missing first."""
-    counted = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
-    )
-    percent = lambda c: F.try_divide(F.col(c), F.col("_rows")) * 100
+    counted = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in df.columns])
     rows = _to_rows(
         counted,
         [
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.col(c).alias("missing_count"),
-                X.round_half_even(percent(c), 1).alias("missing_pct"),
+                (F.col("_rows") - F.col(c)).alias("missing_count"),
+                F.col("_rows").alias("_rows"),
             )
             for c in df.columns
         ],
     )
     if not keep_complete:
         rows = rows.where(F.col("missing_count") > 0)
-    return rows.orderBy(F.col("missing_count").desc(), "column_name")
+    percent = F.try_divide(F.col("missing_count"), F.col("_rows")) * 100
+    return rows.select(
+        "column_name", "missing_count", X.round_half_even(percent, 1).alias("missing_pct")
+    ).orderBy(F.col("missing_count").desc(), "column_name")
 
 
 def missing_in(df: DataFrame, column: str) -> DataFrame:

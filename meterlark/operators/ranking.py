@@ -11,6 +11,7 @@ from meterlark.session import materialize
 MAX_ROWS_PER_TASK = 2_000_000
 MAX_CUTS = 8191
 BROADCAST_CUTS = 1_000_000
+TOP_CANDIDATES = 1000
 
 
 def rank_within(
@@ -108,6 +109,30 @@ def top_k(df: DataFrame, value: str, k: int, key: list[str], nulls: str = "first
     return df.orderBy(order, *[F.col(k_).asc_nulls_last() for k_ in key]).limit(k)
 
 
+def top_k_matched(
+    facts: DataFrame,
+    parents: DataFrame,
+    key: str,
+    value: str,
+    k: int,
+    ties: list[str],
+    nulls: str = "first",
+    candidates: int = TOP_CANDIDATES,
+) -> DataFrame:
+    """`top_k` of the join of `facts` with `parents` on `key`.
+
+    The best `candidates` facts are joined first; both tables are read without a shuffle. When
+    at least `k` of them find a parent they hold the answer, because every other fact ranks
+    below them. Otherwise the whole join is ranked.
+    """
+    best = top_k(facts, value, max(candidates, k), ties, nulls)
+    # Broadcast: at most max(candidates, k) rows.
+    matched = materialize(parents.join(F.broadcast(best), key), "top")
+    if matched.limit(k).count() < k:
+        matched = parents.join(facts, key)
+    return top_k(matched, value, k, ties, nulls)
+
+
 def top_categories(df: DataFrame, category: str, k: int) -> DataFrame:
     """The `k` most frequent categories with their row counts; the name decides ties."""
     return category_counts(df, category).limit(k)

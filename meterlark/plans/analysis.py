@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterlark import schemas as S
 from meterlark.functions.scalar import round_half_away
-from meterlark.operators.ranking import MAX_ROWS_PER_TASK, category_counts, rank_within, top_k
+from meterlark.operators.ranking import MAX_ROWS_PER_TASK, category_counts, rank_within, top_k_matched
 
 PRIMARY_TYPE = "primary_property_type"
 GHG = "ghg_intensity_kgco2e_m2"
@@ -72,9 +72,9 @@ def top_ghg_buildings(
     buildings: DataFrame, energy: DataFrame, k: int = 10, nulls: str = "first"
 ) -> DataFrame:
     """Q2: the `k` rows with the highest carbon intensity. Missing values lead, unless `nulls="last"`."""
-    joined = join_buildings(buildings, energy, ["city", PRIMARY_TYPE])
-    result = joined.select(S.KEY, "city", PRIMARY_TYPE, GHG, S.YEAR)
-    return top_k(result, GHG, k, [S.KEY, S.YEAR], nulls).drop(S.YEAR)
+    parents = buildings.select(S.KEY, "city", PRIMARY_TYPE)
+    facts = energy.select(S.KEY, S.YEAR, GHG)
+    return top_k_matched(facts, parents, S.KEY, GHG, k, [S.KEY, S.YEAR], nulls).drop(S.YEAR)
 
 
 def mean_water_by_city(buildings: DataFrame, energy: DataFrame) -> DataFrame:
