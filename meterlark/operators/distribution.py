@@ -68,7 +68,7 @@ def log_histogram(df: DataFrame, value: str, edges: int = 40) -> DataFrame:
     step = (hi - lo) / last
 
     def edge(at: Column) -> Column:
-        inner = F.pow(F.lit(10.0), lo + at * step)
+        inner = F.least(F.greatest(F.pow(F.lit(10.0), lo + at * step), "_b.lo"), "_b.hi")
         return F.when(at == 0, F.col("_b.lo")).when(at == last, F.col("_b.hi")).otherwise(inner)
 
     x = F.col(value)
