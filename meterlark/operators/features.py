@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from meterlark import schemas as S
 from meterlark.functions import scalar as X
 from meterlark.operators.quantiles import MAX_ROWS_PER_TASK, values_at_ranks
+from meterlark.session import materialize
 
 # The named feature sets.
 CATEGORICAL = [
@@ -160,15 +161,17 @@ def exact_split(
 
     # 13 hex digits are 52 bits, which a double holds exactly.
     leading = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
-    rows = df.select(leading.alias("_x"))
-    sizes = rows.agg(F.count("*").alias("n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    bound = values_at_ranks(rows, sizes, (), F.array(F.lit(n_test - 1)), max_rows).first()["_value"]
-    below = rows.where(F.col("_x") < bound).count()
+    rows = materialize(df.select(leading.alias("_x")), "digests")
+    sizes = rows.agg(F.count("*").alias("n"), F.lit(0.0).alias("_lo"), F.lit(2.0**52).alias("_hi"))
+    found = values_at_ranks(rows, sizes, (), [F.lit(n_test - 1)], max_rows).first()
+    bound, missing = found["_value"], n_test - found["_below"]
+    if missing == found["_same"]:
+        return df.withColumn("is_test", leading <= bound)
     last = (
         df.select(digest.alias("d"), text.alias("k"))
         .where(leading == bound)
         .orderBy("d", "k")
-        .limit(n_test - below)
+        .limit(missing)
         .agg(F.max(F.struct("d", "k")))
         .first()[0]
     )
@@ -183,10 +186,13 @@ def label_check(df: DataFrame, target: str = S.TARGET) -> DataFrame:
     )
 
 
-def prepare(df: DataFrame, target: str = S.TARGET, key: str = S.KEY) -> DataFrame:
-    """Modeling frame with a target on every row, the engineered features and the split."""
-    return (
-        df.transform(drop_missing_target, target)
-        .transform(engineer_features)
-        .transform(hash_split, key)
-    )
+def prepare(
+    df: DataFrame, target: str = S.TARGET, key: str = S.KEY, exact_size: bool = False
+) -> DataFrame:
+    """Modeling frame with a target on every row, the engineered features and the split.
+
+    With `exact_size` the test part has exactly its share of the rows, for which `df` is read
+    several times.
+    """
+    split = exact_split if exact_size else hash_split
+    return df.transform(drop_missing_target, target).transform(engineer_features).transform(split, key)

@@ -1,9 +1,10 @@
 """Exact quantiles whose memory does not grow with the data.
 
-Spark's `percentile` keeps every distinct value of a group in one task. That is used only
-for groups that were counted and found small. A larger group is narrowed first: its value
-range is cut into equal buckets, the buckets are counted in parallel, and the bucket that
-holds the wanted rank becomes the next range, until few rows are left in it.
+Spark's `percentile` keeps every distinct value of a group in one task, in a hash map that
+cannot spill. Here a group is sorted in one task only after it was counted and found small.
+A larger group is narrowed first: its value range is cut into equal buckets, the buckets are
+counted in parallel, and the bucket that holds the wanted rank becomes the next range, until
+few rows are left in it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from meterlark.functions.joins import attach
 from meterlark.session import materialize
 
-MAX_ROWS_PER_TASK = 2_000_000
+MAX_ROWS_PER_TASK = 1_000_000
+MAX_ROWS_IN_RANGE = 100_000
 BROADCAST_ROWS = 100_000
 BUCKETS = 4096
 
@@ -46,83 +48,148 @@ def exact_quantiles(
     if largest is None:
         largest = rows.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= max_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
-        exact = rows.groupBy(*by).agg(F.count("*").alias("n"), F.percentile("_x", wanted).alias("_q"))
-        return exact.select(
-            *by, "n", *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
-        )
-
-    sizes = rows.groupBy(*by).agg(
-        F.count("*").alias("n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
+        return _direct(rows, by, probabilities)
+    if not by:
+        return _narrowed(rows, by, probabilities, max_rows)
+
+    # At most (all rows / max_rows) groups are large.
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > max_rows)
+    large = materialize(sizes.select(*by, F.lit(True).alias("_large")), "large-groups")
+    marked = attach(rows, large, by, "left", small=large.count() <= BROADCAST_ROWS)
+    is_large = F.col("_large").isNotNull()
+    few = _direct(marked.where(~is_large), by, probabilities)
+    many = _narrowed(marked.where(is_large).drop("_large"), by, probabilities, max_rows)
+    return few.unionByName(many)
+
+
+def _direct(rows: DataFrame, by: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """Quantiles of groups that fit into one task, by sorting them; the sort can spill."""
+    group = by or [F.lit(0)]
+    ordered = rows.withColumns(
+        {
+            "_at": F.row_number().over(Window.partitionBy(*group).orderBy("_x")) - 1,
+            "n": F.count("*").over(Window.partitionBy(*group)),
+        }
+    )
+    position = {name: (F.col("n") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
+    ends = {}
+    for name, at in position.items():
+        ends[f"{name}_low"] = F.max(F.when(F.col("_at") == F.floor(at), F.col("_x")))
+        ends[f"{name}_high"] = F.max(F.when(F.col("_at") == F.ceil(at), F.col("_x")))
+    found = ordered.groupBy(*by).agg(
+        F.count("*").alias("n"), *[value.alias(name) for name, value in ends.items()]
+    )
+    return found.select(
+        *by,
+        "n",
+        *[
+            _between(F.col(f"{name}_low"), F.col(f"{name}_high"), at).alias(name)
+            for name, at in position.items()
+        ],
+    )
+
+
+def _between(low: Column, high: Column, at: Column) -> Column:
+    """Linear interpolation between the values at the ranks around `at`."""
+    weighted = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+    return F.when(low == high, low).otherwise(weighted)
+
+
+def _narrowed(
+    rows: DataFrame, by: list[str], probabilities: dict[str, float], max_rows: int
+) -> DataFrame:
+    sizes = materialize(
+        rows.groupBy(*by).agg(
+            F.count("*").alias("n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
+        ),
+        "sizes",
     )
     position = {name: (F.col("n") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
     wanted = [F.floor(at) for at in position.values()] + [F.ceil(at) for at in position.values()]
-    found = values_at_ranks(rows, sizes, by, F.array_distinct(F.array(*wanted)), max_rows)
+    found = values_at_ranks(rows, sizes, by, wanted, max_rows)
     per_group = found.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_values")
     )
-
-    joined = attach(sizes, per_group, by)
-    results = []
-    for name, at in position.items():
-        below, above = F.floor(at), F.ceil(at)
-        low, high = F.col("_values")[below], F.col("_values")[above]
-        mixed = F.when(low == high, low).otherwise((above - at) * low + (at - below) * high)
-        results.append(mixed.alias(name))
-    return joined.select(*by, "n", *results)
+    return attach(sizes, per_group, by).select(
+        *by,
+        "n",
+        *[
+            _between(F.col("_values")[F.floor(at)], F.col("_values")[F.ceil(at)], at).alias(name)
+            for name, at in position.items()
+        ],
+    )
 
 
 def values_at_ranks(
     rows: DataFrame,
     sizes: DataFrame,
     by: Sequence[str],
-    ranks: Column,
+    ranks: Sequence[Column],
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
-    """Values at 0-based ascending ranks: `by`, `_rank`, `_value`.
+    """Values at 0-based ascending ranks: `by`, `_rank`, `_value`, and how many rows of the
+    group are smaller (`_below`) and equal (`_same`).
 
     `rows` has the group columns and a non-null double `_x`. `sizes` has per group the count
-    `n` and the range `_lo`, `_hi`; `ranks` is an array over its columns. Each round reads the
-    rows once and shuffles only bucket counts. A range always holds at least two filled
-    buckets, so every round leaves fewer rows.
+    `n` and bounds `_lo`, `_hi` of the values; `ranks` are expressions over its columns. Each
+    round reads the rows once and shuffles only bucket counts. After a round a range holds at
+    least two filled buckets or is a single value, so every round leaves fewer rows.
     """
     by = list(by)
     state = materialize(
         sizes.where(F.col("n") > 0).select(
             *by,
-            F.explode(ranks).alias("_rank"),
-            "_lo",
-            "_hi",
+            F.explode(F.array_distinct(F.array(*ranks))).alias("_rank"),
+            F.col("_lo").cast("double").alias("_lo"),
+            F.col("_hi").cast("double").alias("_hi"),
             F.lit(0).cast("bigint").alias("_before"),
             F.col("n").alias("_inside"),
         ),
         "ranks",
     )
-    is_open = (F.col("_lo") < F.col("_hi")) & (F.col("_inside") > max_rows)
+    enough = min(max_rows, MAX_ROWS_IN_RANGE)
+    is_open = (F.col("_lo") < F.col("_hi")) & (F.col("_inside") > enough)
     while True:
         counted = state.agg(F.count("*").alias("all"), F.count_if(is_open).alias("open")).first()
         small = counted["all"] <= BROADCAST_ROWS
         if not counted["open"]:
             break
         pending = state.where(is_open)
-        state = materialize(
-            state.where(~is_open).unionByName(_narrow(rows, pending, by, small)), "ranks"
-        )
+        narrowed = _narrow(rows, pending, by, len(ranks), small)
+        state = materialize(state.where(~is_open).unionByName(narrowed), "ranks")
 
-    counts = _rows_in_ranges(rows, state, by, small).groupBy(*by, "_lo", "_hi", "_before", "_x").agg(
-        F.count("*").alias("_n")
+    counts = (
+        _rows_in_ranges(rows, state, by, len(ranks), small)
+        .groupBy(*by, "_lo", "_hi", "_before", "_x")
+        .agg(F.count("*").alias("_n"))
+    )
+    # Few rows, or one distinct value, per window partition.
+    chosen = _at_rank(state, _with_span(counts, by, "_x"), by, small)
+    return chosen.select(
+        *by,
+        "_rank",
+        F.col("_x").alias("_value"),
+        F.col("_start").alias("_below"),
+        F.col("_n").alias("_same"),
     )
-    # At most max_rows rows, or one distinct value, per window partition.
-    spans = _with_span(counts, by, "_x")
-    chosen = _at_rank(state, spans, by)
-    return chosen.select(*by, "_rank", F.col("_x").alias("_value"))
 
 
-def _rows_in_ranges(rows: DataFrame, state: DataFrame, by: list[str], small: bool) -> DataFrame:
-    """Rows inside a wanted range, once per distinct range of their group."""
+def _rows_in_ranges(
+    rows: DataFrame, state: DataFrame, by: list[str], most: int, small: bool
+) -> DataFrame:
+    """Rows inside a wanted range of their group, with that range.
+
+    A group has at most `most` ranges. Two ranges are equal or have no value in common.
+    """
     ranges = state.groupBy(*by).agg(F.collect_set(F.struct("_lo", "_hi", "_before")).alias("_ranges"))
-    inside = F.filter("_ranges", lambda r: F.col("_x").between(r["_lo"], r["_hi"]))
-    return attach(rows, ranges, by, small=small).select(*by, "_x", F.inline(inside))
+    slots = [F.get("_ranges", F.lit(i)) for i in range(most)]
+    hit = F.coalesce(*[F.when(F.col("_x").between(r["_lo"], r["_hi"]), r) for r in slots])
+    return (
+        attach(rows, ranges, by, small=small)
+        .select(*by, "_x", hit.alias("_hit"))
+        .where(F.col("_hit").isNotNull())
+        .select(*by, "_x", "_hit.*")
+    )
 
 
 def _with_span(counts: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -133,23 +200,25 @@ def _with_span(counts: DataFrame, by: list[str], order: str) -> DataFrame:
     )
 
 
-def _at_rank(state: DataFrame, spans: DataFrame, by: list[str]) -> DataFrame:
-    matched = attach(
-        state.select(*by, "_rank", "_lo", "_hi"), spans.drop("_before"), [*by, "_lo", "_hi"]
-    )
+def _at_rank(state: DataFrame, spans: DataFrame, by: list[str], small: bool) -> DataFrame:
+    """The counted rows that cover a wanted rank of their range."""
+    wanted = state.select(*by, "_rank", "_lo", "_hi")
+    matched = attach(spans.drop("_before"), wanted, [*by, "_lo", "_hi"], small=small)
     return matched.where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end")))
 
 
-def _narrow(rows: DataFrame, pending: DataFrame, by: list[str], small: bool) -> DataFrame:
+def _narrow(
+    rows: DataFrame, pending: DataFrame, by: list[str], most: int, small: bool
+) -> DataFrame:
     """Replace each pending range by the bucket that holds its rank."""
     bucket = bucket_of(F.col("_x"), F.col("_lo"), F.col("_hi"), BUCKETS)
     counts = (
-        _rows_in_ranges(rows, pending, by, small)
+        _rows_in_ranges(rows, pending, by, most, small)
         .groupBy(*by, "_lo", "_hi", "_before", bucket.alias("_bucket"))
         .agg(F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"))
     )
     spans = _with_span(counts, by, "_bucket")
-    return _at_rank(pending, spans, by).select(
+    return _at_rank(pending, spans, by, small).select(
         *by,
         "_rank",
         F.col("_min").alias("_lo"),

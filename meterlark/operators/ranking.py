@@ -34,11 +34,12 @@ def rank_within(
         return df.withColumn(name, F.rank().over(descending).cast("bigint"))
 
     rows = materialize(df, "rank-rows")
-    cuts = materialize(_cuts(rows, group, value, largest, max_rows), "rank-cuts")
+    most = min(MAX_CUTS, -(-largest // max_rows) * 2)
+    cuts = materialize(_cuts(rows, group, value, largest, max_rows, most), "rank-cuts")
     n_cuts = cuts.agg(F.sum(F.size("_cuts"))).first()[0] or 0
     small = n_cuts <= BROADCAST_CUTS
 
-    below = _count_below(F.col("_cuts"), F.col(value), MAX_CUTS)
+    below = _count_below(F.col("_cuts"), F.col(value), most)
     placed = attach(rows, cuts, [group], "left", small).withColumn(
         "_below", F.coalesce(below, F.lit(0))
     )
@@ -70,14 +71,17 @@ def rank_within(
     return placed.select(*df.columns, rank.cast("bigint").alias(name))
 
 
-def _cuts(rows: DataFrame, group: str, value: str, largest: int, max_rows: int) -> DataFrame:
-    """Sorted cut values for each group that is too large for one task."""
+def _cuts(
+    rows: DataFrame, group: str, value: str, largest: int, max_rows: int, most: int
+) -> DataFrame:
+    """Sorted cut values, at most `most`, for each group that is too large for one task."""
     sizes = rows.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
-    steps = min(MAX_CUTS, -(-largest // max_rows) * 2)
-    shares = [i / (steps + 1) for i in range(1, steps + 1)]
+    sizes = materialize(sizes, "rank-sizes")
+    small = sizes.count() <= BROADCAST_CUTS
+    shares = [i / (most + 1) for i in range(1, most + 1)]
     points = F.approx_percentile(value, F.array(*[F.lit(s) for s in shares]), F.lit(10_000))
     sketched = (
-        attach(rows.select(group, value), sizes, [group])
+        attach(rows.select(group, value), sizes, [group], small=small)
         .groupBy(group)
         .agg(points.alias("_points"), F.max("_n").alias("_n"))
     )

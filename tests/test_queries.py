@@ -1,6 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from meterlark import schemas as S
+from meterlark.plans import analysis
 from verification import compare, oracle, registry
 
 # Fitting a whole grid takes long; tests/test_experiments.py covers it on a small frame.
@@ -48,3 +51,34 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 def test_overall_mean_is_a_subquery(spark, sf_dir):
     assert "Subquery" in plan_of(spark, sf_dir, "q09_cities_above_mean")
+
+
+def test_a_frequent_key_is_split_in_the_join(spark):
+    """A third of the measures belong to one building; adaptive execution splits that key."""
+    energy = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "1").otherwise((F.col("id") % 5000 + 2).cast("string")).alias(S.KEY),
+        (F.col("id") % 100).cast("int").alias(S.SCORE),
+        F.lit(2024).alias(S.YEAR),
+    ).repartition(8)
+    buildings = spark.range(1, 5003).select(
+        F.col("id").cast("string").alias(S.KEY), F.lit("Office").alias("primary_property_type")
+    )
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        tiers = analysis.efficiency_tiers(buildings, energy)
+        n_rows = len(tiers.collect())
+        plan = tiers._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert n_rows == 60_000
+    assert "skew=true" in plan
