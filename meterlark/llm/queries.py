@@ -6,20 +6,34 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterlark.llm import bpe
+from meterlark.llm import bpe, toxicity
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    train = toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic").where(toxicity.fold() != 0)
+    scored = toxicity.score(docs, toxicity.fit(train))
+    return scored.select(
+        "doc_id",
+        F.coalesce(toxicity.fold() == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.round_trip(docs, WORD_BPE, lexicon=bpe.fit_lexicon(docs, WORD_BPE))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_toxicity": op5_toxicity,
     "op6_bpe_round_trip": op6_bpe_round_trip,
 }
 
