@@ -8,13 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, toxicity
+from meterlark.llm import bpe, quality, toxicity
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(quality.fold() == 0, F.lit(False))
+    rows = quality.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.with_scores(rows, quality.fit(rows))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "content_margin", "meta_margin", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     train = toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic").where(toxicity.fold() != 0)
@@ -33,6 +42,7 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_bpe_round_trip": op6_bpe_round_trip,
 }
