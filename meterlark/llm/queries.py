@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, quality, toxicity
+from meterlark.llm import bpe, minhash, quality, toxicity
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(quality.fold() == 0, F.lit(False))
     rows = quality.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -42,6 +46,7 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_bpe_round_trip": op6_bpe_round_trip,
