@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, minhash, quality, toxicity
+from meterlark.llm import bpe, decontam, minhash, quality, toxicity
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
@@ -45,11 +45,16 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, WORD_BPE, lexicon=bpe.fit_lexicon(docs, WORD_BPE))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
