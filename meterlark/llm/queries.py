@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, decontam, minhash, quality, toxicity
+from meterlark.llm import bpe, decontam, embeddings, minhash, quality, toxicity
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
@@ -19,6 +19,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(quality.fold() == 0, F.lit(False))
     rows = quality.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -51,6 +55,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op3_embeddings": op3_embeddings,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_bpe_round_trip": op6_bpe_round_trip,
