@@ -40,7 +40,7 @@ def ship_bytes(spark: SparkSession, data: bytes, label: str) -> str:
     uri = f"{fresh_path(spark, label)}/{name}"
     fs, path = store(uri)
     fs.create_dir(os.path.dirname(path), recursive=True)
-    with fs.open_output_stream(path) as out:
+    with fs.open_output_stream(path, compression=None) as out:
         out.write(data)
     spark.sparkContext.addFile(uri)
     return name

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, decontam, embeddings, minhash, quality, toxicity
+from meterlark.llm import bpe, decontam, embeddings, minhash, quality, toxicity, warc
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
@@ -19,6 +19,18 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(warc.with_revisits(table(spark, sf_dir, "pages")))
+    records = warc.read(spark, files, payload=False, verify=True)
+    return records.select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +67,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_warc": op2_warc,
     "op3_embeddings": op3_embeddings,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
