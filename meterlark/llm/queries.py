@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, decontam, embeddings, minhash, quality, toxicity, warc
+from meterlark.llm import bpe, decontam, embeddings, minhash, quality, tokenfiles, toxicity, warc
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: The id that ends each document in token files.
+END_ID = 2
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenfiles.write(table(spark, sf_dir, "documents"), WORD_BPE, END_ID)
+    return tokenfiles.read(spark, files, digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_warc": op2_warc,
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op9_decontamination": op9_decontamination,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}
