@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, decontam, embeddings, html, minhash, quality, tokenfiles, toxicity, warc
+from meterlark.llm import bpe, decontam, embeddings, html, licenses, minhash, quality, tokenfiles, toxicity, warc
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
@@ -63,6 +63,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, WORD_BPE, lexicon=bpe.fit_lexicon(docs, WORD_BPE))
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_texts(table(spark, sf_dir, "pages"))
 
@@ -83,9 +87,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_licences": op7_licences,
     "op8_main_text": op8_main_text,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_licences": licenses.oracle_sql()}
