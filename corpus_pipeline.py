@@ -1,25 +1,62 @@
-"""The training-data pipeline: operators of `meterlark.llm` in stages over `documents`."""
+"""The training-data pipeline: operators of `meterlark.llm` in stages over `documents`.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the stages before it have kept.
+All but the last return the columns of their input. Null and empty texts are scored like any
+other text, are near copies of nothing and hold nothing, and are encoded to no ids. Of rows that
+repeat an id, the near-duplicate stage keeps one. An empty table passes through as one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterlark.llm import bpe
+from meterlark.llm import bpe, decontam, minhash, quality, toxicity
 from meterlark.llm.common import table
 from meterlark.llm.queries import WORD_BPE
 from meterlark.session import materialize
 
+#: Probability of a toxic text from which a document goes, and of good quality below which it goes.
+TOXIC_FROM, GOOD_FROM = 0.5, 0.5
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is not scored as toxic."""
+    model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(docs, model, to="_toxic").where(F.col("_toxic") < TOXIC_FROM).drop("_toxic")
+
+
+def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that both views together do not score as bad."""
+    model = quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels"), F.lit(True)))
+    return quality.score(docs, model, to="_q_score").where(F.col("_q_score") >= GOOD_FROM).drop("_q_score")
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id."""
+    return minhash.deduplicate(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    marked = decontam.mark(docs, table(spark, sf_dir, "benchmark"), to="_held")
+    return marked.where(F.size("_held") == 0).drop("_held")
+
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """(doc_id, n_tokens, ids) of every document that is left."""
     return bpe.encode(docs, WORD_BPE, lexicon=bpe.fit_lexicon(docs, WORD_BPE))
 
 
 STAGES = [
+    ("toxicity", without_toxic),
+    ("quality", of_good_quality),
+    ("near_duplicates", without_near_copies),
+    ("decontamination", without_benchmark),
     ("bpe_encoding", encoded),
 ]
 
-#: The classifiers and the tokenizer are not expressible in SQL.
+#: The classifiers and the tokenizer cannot be stated in SQL.
 ORACLE_SQL = None
 
 
