@@ -10,8 +10,11 @@ INT_RANGE = (-(2**31), 2**31 - 1)
 
 
 def round_half_away(value: Column, digits: int) -> Column:
-    """Round like SQL numeric: exact ties go away from zero. Values too wide for the decimal pass through."""
-    exact = F.round(value.try_cast("decimal(28,10)"), digits).cast("double")
+    """Round like SQL numeric: exact ties go away from zero. Values too wide for the decimal pass through.
+
+    With 18 decimals the cast keeps every digit that a double near 1 has, so it does not round first.
+    """
+    exact = F.round(value.try_cast("decimal(38,18)"), digits).cast("double")
     return F.coalesce(exact, value.cast("double"))
 
 

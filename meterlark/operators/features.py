@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlark import schemas as S
@@ -32,7 +32,6 @@ FEATURE_SETS = {
 TEST_SHARE = 0.2
 SEED = 42
 MISSING_CATEGORY = "(missing)"
-MAX_CATEGORIES = 100_000
 
 
 def drop_missing_target(df: DataFrame, target: str = S.TARGET) -> DataFrame:
@@ -89,14 +88,6 @@ def select_features(
     return df.select(*dict.fromkeys([*keep, *wanted, target]))
 
 
-def check_cardinality(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Raise when a column has too many categories: the encoder keeps all of them on the driver."""
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    wide = {c: n for c, n in counts.items() if n > limit}
-    if wide:
-        raise ValueError(f"too many categories to one-hot encode: {wide}")
-
-
 def build_encoder(categorical: Sequence[str], numeric: Sequence[str] = ()) -> Pipeline:
     """Unfit one-hot encoder; fit it on training rows only.
 
@@ -127,16 +118,23 @@ def build_encoder(categorical: Sequence[str], numeric: Sequence[str] = ()) -> Pi
 
 
 def _digest(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    """Hash of the seed and the key; a missing key has a hash of its own."""
+    marked = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.md5(F.coalesce(marked, F.lit(f"{seed}")))
+
+
+def _leading(digest: Column, digits: int) -> Column:
+    """The first hexadecimal digits as a number; 13 of them are 52 bits, which a double holds exactly."""
+    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("double")
 
 
 def hash_split(df: DataFrame, key: str, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Add `is_test` from a hash of the key: no shuffle, and the same for any row order.
 
-    The test share holds in expectation, not as an exact count.
+    The test share holds in expectation, not as an exact count. Rows without a key fall on
+    one side together.
     """
-    bound = f"{int(test_share * 2**32):08x}"
-    return df.withColumn("is_test", F.substring(_digest(key, seed), 1, 8) < bound)
+    return df.withColumn("is_test", _leading(_digest(key, seed), 8) < int(test_share * 2**32))
 
 
 def exact_split(
@@ -149,20 +147,16 @@ def exact_split(
     """Add `is_test` for exactly ceil(share * rows) rows: those with the smallest key hashes.
 
     Instead of sorting all rows, the largest hash of the test part is found by counting.
-    Rows that share its leading digits are told apart by the whole hash. `key` is unique.
+    Rows that share its leading digits are told apart by the whole hash. `key` is unique; a
+    missing key counts as one more value. Runs jobs; `max_rows` is how many hashes one task sorts.
     """
-    digest, text = _digest(key, seed), F.col(key).cast("string")
-    n = df.count()
-    n_test = math.ceil(n * test_share)
-    if n <= max_rows:
-        # Counted above: the one task of this window holds at most max_rows rows.
-        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(digest, text))
-        return df.withColumn("is_test", place <= n_test)
-
-    # 13 hex digits are 52 bits, which a double holds exactly.
-    leading = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+    digest, text = _digest(key, seed), F.coalesce(F.col(key).cast("string"), F.lit(""))
+    n_test = math.ceil(df.count() * test_share)
+    if not n_test:
+        return df.withColumn("is_test", F.lit(False))
+    leading = _leading(digest, 13)
     rows = materialize(df.select(leading.alias("_x")), "digests")
-    sizes = rows.agg(F.count("*").alias("n"), F.lit(0.0).alias("_lo"), F.lit(2.0**52).alias("_hi"))
+    sizes = rows.agg(F.count("*").alias("n"))
     found = values_at_ranks(rows, sizes, (), [F.lit(n_test - 1)], max_rows).first()
     bound, missing = found["_value"], n_test - found["_below"]
     if missing == found["_same"]:

@@ -26,7 +26,9 @@ BUCKETS = 4096
 def bucket_of(value: Column, low: Column, high: Column, buckets: int) -> Column:
     """Equal-width bucket of `value` in [low, high]; never decreases as the value grows."""
     share = (value / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0))
-    return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * buckets), F.lit(buckets - 1)).cast("int")
+    # A range too narrow to be halved has two values at most.
+    share = F.coalesce(share, F.when(value > low, 1.0).otherwise(0.0))
+    return F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
 
 
 def exact_quantiles(
@@ -40,7 +42,7 @@ def exact_quantiles(
     """One row per group: `by`, the number of values `n`, and one column per named probability.
 
     Linear interpolation between neighbours; NULL values are left out. Reads `df` at least
-    twice, so write an expensive one first. Pass the row count of the `largest` group where
+    twice, and runs jobs above `max_rows`, so write an expensive one first. Pass the row count of the `largest` group where
     it is known, to save counting.
     """
     by = list(by)
@@ -90,7 +92,10 @@ def _direct(rows: DataFrame, by: list[str], probabilities: dict[str, float]) ->
 
 
 def _between(low: Column, high: Column, at: Column) -> Column:
-    """Linear interpolation between the values at the ranks around `at`."""
+    """Linear interpolation between the values at the ranks around `at`.
+
+    Both sides of a rank that is a whole number are the same value, also an infinite one.
+    """
     weighted = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
     return F.when(low == high, low).otherwise(weighted)
 
@@ -98,12 +103,7 @@ def _between(low: Column, high: Column, at: Column) -> Column:
 def _narrowed(
     rows: DataFrame, by: list[str], probabilities: dict[str, float], max_rows: int
 ) -> DataFrame:
-    sizes = materialize(
-        rows.groupBy(*by).agg(
-            F.count("*").alias("n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
-        ),
-        "sizes",
-    )
+    sizes = materialize(rows.groupBy(*by).agg(F.count("*").alias("n")), "sizes")
     position = {name: (F.col("n") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
     wanted = [F.floor(at) for at in position.values()] + [F.ceil(at) for at in position.values()]
     found = values_at_ranks(rows, sizes, by, wanted, max_rows)
@@ -128,32 +128,70 @@ def values_at_ranks(
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Values at 0-based ascending ranks: `by`, `_rank`, `_value`, and how many rows of the
-    group are smaller (`_below`) and equal (`_same`).
+    group are smaller (`_below`) and equal (`_same`). Runs jobs.
 
     `rows` has the group columns and a non-null double `_x`. `sizes` has per group the count
-    `n` and bounds `_lo`, `_hi` of the values; `ranks` are expressions over its columns. Each
-    round reads the rows once and shuffles only bucket counts. After a round a range holds at
-    least two filled buckets or is a single value, so every round leaves fewer rows.
+    `n`; `ranks` are expressions over its columns. Infinities and NaN, which sort as the largest
+    value, are counted first and their ranks answered from the counts. Each round reads the rows
+    once and shuffles only bucket counts. After a round a range of finite values holds at least
+    two filled buckets or is a single value, so every round leaves fewer rows; one that does not
+    is an error.
     """
     by = list(by)
-    state = materialize(
-        sizes.where(F.col("n") > 0).select(
-            *by,
-            F.explode(F.array_distinct(F.array(*ranks))).alias("_rank"),
-            F.col("_lo").cast("double").alias("_lo"),
-            F.col("_hi").cast("double").alias("_hi"),
-            F.lit(0).cast("bigint").alias("_before"),
-            F.col("n").alias("_inside"),
-        ),
+    x = F.col("_x")
+    finite = ~F.isnan(x) & (F.abs(x) != float("inf"))
+    spread = rows.groupBy(*by).agg(
+        F.count_if(x == float("-inf")).alias("_negative"),
+        F.count_if(finite).alias("_finite"),
+        F.count_if(x == float("inf")).alias("_positive"),
+        F.count_if(F.isnan(x)).alias("_nan"),
+        F.min(F.when(finite, x)).alias("_lo"),
+        F.max(F.when(finite, x)).alias("_hi"),
+    )
+    wanted = materialize(
+        attach(sizes.drop("_lo", "_hi"), spread, by)
+        .where(F.col("n") > 0)
+        .withColumn("_rank", F.explode(F.array_distinct(F.array(*ranks))))
+        .select(*by, "_rank", "_negative", "_finite", "_positive", "_nan", "_lo", "_hi"),
         "ranks",
     )
+    below_finite = F.col("_rank") < F.col("_negative")
+    among_finite = ~below_finite & (F.col("_rank") < F.col("_negative") + F.col("_finite"))
+    above_finite = F.col("_rank") < F.col("_negative") + F.col("_finite") + F.col("_positive")
+
+    def kind(least: Column, infinite: Column, nan: Column) -> Column:
+        return F.when(below_finite, least).when(above_finite, infinite).otherwise(nan)
+
+    special = wanted.where(~among_finite).select(
+        *by,
+        "_rank",
+        kind(F.lit(float("-inf")), F.lit(float("inf")), F.lit(float("nan"))).alias("_value"),
+        kind(
+            F.lit(0).cast("bigint"),
+            F.col("_negative") + F.col("_finite"),
+            F.col("_negative") + F.col("_finite") + F.col("_positive"),
+        ).alias("_below"),
+        kind(F.col("_negative"), F.col("_positive"), F.col("_nan")).alias("_same"),
+    )
+    state = wanted.where(among_finite).select(
+        *by, "_rank", "_lo", "_hi", F.col("_negative").alias("_before"), F.col("_finite").alias("_inside")
+    )
+    rows = rows.where(finite)
     enough = min(max_rows, MAX_ROWS_IN_RANGE)
     is_open = (F.col("_lo") < F.col("_hi")) & (F.col("_inside") > enough)
+    left = None
     while True:
-        counted = state.agg(F.count("*").alias("all"), F.count_if(is_open).alias("open")).first()
+        counted = state.agg(
+            F.count("*").alias("all"),
+            F.count_if(is_open).alias("open"),
+            F.sum(F.when(is_open, F.col("_inside"))).alias("rows"),
+        ).first()
         small = counted["all"] <= BROADCAST_ROWS
         if not counted["open"]:
             break
+        if left is not None and counted["rows"] >= left:
+            raise RuntimeError("a round of narrowing has left as many rows as before")
+        left = counted["rows"]
         pending = state.where(is_open)
         narrowed = _narrow(rows, pending, by, len(ranks), small)
         state = materialize(state.where(~is_open).unionByName(narrowed), "ranks")
@@ -171,7 +209,7 @@ def values_at_ranks(
         F.col("_x").alias("_value"),
         F.col("_start").alias("_below"),
         F.col("_n").alias("_same"),
-    )
+    ).unionByName(special)
 
 
 def _rows_in_ranges(

@@ -8,13 +8,21 @@ from pyspark.sql.types import StructType
 from meterlark import schemas as S
 
 
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Raw sheet saved as CSV, every column as text. `columns` lists all columns in file order."""
+# Quotes inside a text are doubled, as spreadsheets write them.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, columns: list[str], multi_line: bool = True
+) -> DataFrame:
+    """Raw sheet saved as CSV, every column as text. `columns` lists all columns in file order.
+
+    Texts may hold line breaks; for that a file is read by one task. Turn `multi_line` off for
+    large files that are known to have none.
+    """
     return (
         spark.read.schema(S.raw_sheet(columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", False)
+        .options(**CSV_OPTIONS, enforceSchema=False, multiLine=multi_line)
         .csv(path)
     )
 
@@ -38,13 +46,20 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a folder of CSV parts, each with a header. Parent folders are created.
 
-    An empty text is quoted and a NULL is left blank, so that both survive a round trip.
+    An empty text is quoted and a NULL is left blank, so that both survive a round trip, as do
+    quotes, blanks at either end and line breaks.
     """
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
+    kept = {"emptyValue": '""', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**CSV_OPTIONS, **kept).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = True
+) -> DataFrame:
+    """What `write_csv` wrote; see `read_raw_csv` for `multi_line`."""
+    # A blank field is NULL anyway; with this marker a quoted empty text is not.
+    options = {**CSV_OPTIONS, "multiLine": multi_line, "nullValue": "\0"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def run_sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:

@@ -93,6 +93,8 @@ def test_nan_becomes_null(spark):
 def test_rounding(spark):
     df = spark.createDataFrame([(1.005,), (2.5,), (-2.675,), (1e25,), (None,)], "x double")
     assert one(df, X.round_half_away(F.col("x"), 2)) == [1.01, 2.5, -2.68, 1e25, None]
+    near = df.sparkSession.createDataFrame([(0.00499999999999,), (0.005,)], "x double")
+    assert one(near, X.round_half_away(F.col("x"), 2)) == [0.0, 0.01]
     halves = spark.createDataFrame([(0.25,), (0.35,)], "x double")
     assert one(halves, X.round_half_even(F.col("x"), 1)) == [0.2, 0.4]
 

@@ -121,6 +121,44 @@ def test_forest_repeats_with_its_seed(frame):
     assert runs[0] == runs[1]
 
 
+def test_forest_does_not_depend_on_the_layout_of_its_rows(frame):
+    """Any number of input parts and any row order give the same predictions."""
+    layouts = [frame.coalesce(1), frame.repartition(3), frame.repartition(8), frame.orderBy(F.rand(5)).repartition(5)]
+    runs = [
+        sorted(
+            (r[S.KEY], r["predicted"])
+            for r in E.run_grid(layout, ["v1"], E.Forest(trees=3, depth=4), only=["Random Forest"])
+            .where("model_name = 'Random Forest'")
+            .collect()
+        )
+        for layout in layouts
+    ]
+    assert runs[0] and all(run == runs[0] for run in runs)
+
+
+def test_linear_models_predict_the_means_of_their_categories(frame):
+    """With one category the predictions are its training means; with log1p, expm1 of the mean log."""
+    single = frame.withColumns({c: F.lit("x") for c in FE.CATEGORICAL if c != "city"})
+    wanted = {
+        r["city"]: (r["m"], r["g"])
+        for r in single.where("not is_test")
+        .groupBy("city")
+        .agg(F.avg(S.TARGET).alias("m"), F.expm1(F.avg(F.log1p(S.TARGET))).alias("g"))
+        .collect()
+    }
+    names = ["Linear Regression", "Linear Regression log1p"]
+    for r in E.run_grid(single, ["v1"], E.Forest(trees=1, depth=1), only=names).collect():
+        if r["model_name"] in names:
+            assert r["predicted"] == pytest.approx(wanted[r["city"]][names.index(r["model_name"])], rel=1e-4)
+
+
+def test_forests_stay_inside_the_range_of_their_training_target(frame):
+    low, high = frame.where("not is_test").agg(F.min(S.TARGET), F.max(S.TARGET)).first()
+    grid = E.run_grid(frame, ["v2"], E.Forest(trees=4, depth=30), only=["Random Forest", "Random Forest log1p"])
+    for r in grid.where("model_name like 'Random%'").collect():
+        assert low - 1e-9 <= r["predicted"] <= high + 1e-9
+
+
 def test_median_baseline_uses_training_rows(frame):
     middle = {r["predicted"] for r in E.median_predictions(frame).select("predicted").collect()}
     train = frame.where("not is_test").selectExpr("median(site_eui_gj_m2)").first()[0]

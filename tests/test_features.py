@@ -73,7 +73,12 @@ def test_encoder_stages_and_unseen_categories(spark):
     assert sum(got[7][:3]) == 1.0 and sum(got[9][:3]) == 1.0 and got[7][:3] != got[9][:3]
 
 
-def test_too_many_categories_are_refused(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="too many categories"):
-        FE.check_cardinality(df, ["c"], limit=100)
+def test_split_shares_at_both_ends_and_missing_keys(spark):
+    df = spark.range(500).select(F.when(F.col("id") != 3, F.col("id").cast("string")).alias("k"))
+    for share, n in ((0.0, 0), (1.0, 500)):
+        assert FE.hash_split(df, "k", share).where("is_test").count() == n
+        assert FE.exact_split(df, "k", share).where("is_test").count() == n
+    assert FE.hash_split(df, "k").where("is_test is null").count() == 0
+    for max_rows in (5, 1000):
+        split = FE.exact_split(df, "k", max_rows=max_rows)
+        assert split.where("is_test").count() == 100 and split.where("is_test is null").count() == 0

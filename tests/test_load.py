@@ -114,12 +114,28 @@ def test_orphans_stop_the_measures_but_not_the_buildings(spark):
 def test_csv_round_trip_keeps_commas_quotes_and_null(spark):
     path = fresh_path(spark, "test-csv")
     df = spark.createDataFrame(
-        [("a,b", 1.5, 1), ('say "x"', None, None), (None, 2.0, 3)], "t string, x double, i int"
+        [
+            ("a,b", 1.5, 1),
+            ('say "x"', None, None),
+            (None, 2.0, 3),
+            ("two\nlines", 1.0, 4),
+            ('"', 1.0, 5),
+            ("back\\slash", 1.0, 6),
+            (" blanks ", 1.0, 7),
+            ("", 1.0, 8),
+        ],
+        "t string, x double, i int",
     )
     files.write_csv(df, path)
     assert pairs(files.read_csv(spark, path, df.schema)) == pairs(df)
 
 
+def test_raw_sheet_of_another_program_is_read(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text('EWRB_ID,City,Note\n1,"say ""x"", y","two\nlines"\n2,,plain\n')
+    got = files.read_raw_csv(spark, str(tmp_path / "raw.csv"), ["EWRB_ID", "City", "Note"])
+    assert pairs(got) == [("1", 'say "x", y', "two\nlines"), ("2", None, "plain")]
+
+
 def test_year_filter_prunes_partitions(spark):
     path = fresh_path(spark, "test-parts")
     df = spark.createDataFrame([energy("1", 2023), energy("1", 2024)], S.ENERGY)

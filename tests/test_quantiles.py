@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -53,6 +54,18 @@ def test_quantiles_of_nothing(spark):
     assert tuple(exact_quantiles(df, "x", {"m": 0.5}).first()) == (0, None)
 
 
+@pytest.mark.parametrize("max_rows", [1, 2, 1000])
+def test_infinities_and_nan_have_their_ranks(spark, max_rows):
+    inf, nan = float("inf"), float("nan")
+    values = [("a", v) for v in (1.0, 2.0, 3.0, inf, -inf)] + [("b", inf), ("b", inf), ("c", nan), ("c", 1.0), ("d", -inf)]
+    df = spark.createDataFrame(values, "g string, x double")
+    got = by_name(exact_quantiles(df, "x", {"low": 0.0, "middle": 0.5, "high": 1.0}, ["g"], max_rows=max_rows))
+    assert tuple(got["a"])[1:] == (5, -inf, 2.0, inf)
+    assert tuple(got["b"])[1:] == (2, inf, inf, inf)
+    assert got["c"]["low"] == 1.0 and math.isnan(got["c"]["high"])
+    assert tuple(got["d"])[1:] == (1, -inf, -inf, -inf)
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(

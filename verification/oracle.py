@@ -66,7 +66,7 @@ def with_raw(body: str, bad_scores: bool = False) -> str:
 
 
 def rounded_mean(column: str, digits: int) -> str:
-    return f"cast(round(cast(avg({column}) AS decimal(28, 10)), {digits}) AS double)"
+    return f"cast(round(cast(avg({column}) AS decimal(38, 18)), {digits}) AS double)"
 
 
 def lenient(column: str) -> str:
@@ -79,13 +79,18 @@ def whole(column: str) -> str:
     return f"CASE WHEN {number} = floor({number}) THEN cast({number} AS int) END"
 
 
+LINE_COLUMNS = """l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity,
+        l_discount, l_tax, l_returnflag, l_linestatus"""
+
+
 def first_lines(source: str) -> str:
     return f"""
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity
+    SELECT {LINE_COLUMNS}
     FROM {source}
     QUALIFY row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber
-        ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity) = 1"""
+        ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity,
+                 l_discount, l_tax, l_returnflag, l_linestatus) = 1"""
 
 
 def rank_query() -> str:
@@ -122,6 +127,23 @@ PRICE_QUANTILES = """
     FROM lineitem GROUP BY l_returnflag"""
 
 
+# NaN sorts last in both engines.
+ODD_QUANTILES = """
+    WITH v AS (
+        SELECT l_returnflag, CASE WHEN l_orderkey % 17 = 0 THEN 'inf'::double
+                                  WHEN l_orderkey % 19 = 0 THEN '-inf'::double
+                                  WHEN l_orderkey % 23 = 0 THEN 'nan'::double
+                                  ELSE l_extendedprice END AS x FROM lineitem),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY x) - 1 AS pos,
+                      count(*) OVER (PARTITION BY l_returnflag) AS n FROM v)
+    SELECT l_returnflag, max(n) AS n,
+           round(sum(x * (1 - abs(pos - (n - 1) * 0.25))) FILTER (abs(pos - (n - 1) * 0.25) < 1), 6) AS q1,
+           round(sum(x * (1 - abs(pos - (n - 1) * 0.5))) FILTER (abs(pos - (n - 1) * 0.5) < 1), 6) AS median,
+           bool_or(pos = 0 AND x = '-inf'::double) AS lowest_is_infinite,
+           bool_or(pos = n - 1 AND isnan(x)) AS highest_is_nan
+    FROM placed GROUP BY l_returnflag"""
+
+
 def rule_rows(buildings: str, energy: str, low: int, high: int) -> str:
     return f"""
     SELECT *, violations = 0 AS passed FROM (
@@ -259,7 +281,8 @@ def statements() -> dict[str, str]:
     broken = f"WITH {TABLES}, broken AS ({views.BROKEN_ENERGY})"
     all_lines = "lineitem"
     gapped = """(SELECT l_orderkey, CASE WHEN l_linenumber <> 3 THEN l_linenumber END AS l_linenumber,
-                        l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity FROM lineitem)"""
+                        l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity,
+                        l_discount, l_tax, l_returnflag, l_linestatus FROM lineitem)"""
     profiled = ["City", "Postal_Code", "PrimPropTypCalc", "PrimPropTypSelf", "Largest_PropTyp", "Thrd_Party_Cert"]
     pairs = [(a, b) for i, a in enumerate(NUMBERS) for b in NUMBERS[i + 1 :]]
     p, s, g = "primary_property_type", "self_property_type", "largest_property_type"
@@ -294,7 +317,7 @@ def statements() -> dict[str, str]:
         "q06_weather_gap": with_tables(f"""
             SELECT b.ewrb_id, b.city, e.{TARGET}, e.weather_normalized_site_eui_gj_m2,
                    cast(round(cast(e.{TARGET} - e.weather_normalized_site_eui_gj_m2
-                                   AS decimal(28, 10)), 2) AS double) AS diff
+                                   AS decimal(38, 18)), 2) AS double) AS diff
             FROM {JOINED}
             WHERE e.{TARGET} IS NOT NULL AND e.weather_normalized_site_eui_gj_m2 IS NOT NULL"""),
         "q07_missing_readings": with_tables(f"""
@@ -349,9 +372,11 @@ def statements() -> dict[str, str]:
         "rejected_scores": with_raw(f"""
             SELECT {key}, Ener_Star_Score AS score_text FROM raw
             WHERE {score_text} IS NOT NULL AND {whole(score_text)} IS NULL""", True),
-        "duplicate_rows": """
-            SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows
-            FROM lineitem""",
+        "duplicate_rows": f"""
+            WITH twice AS (SELECT * FROM {gapped} UNION ALL
+                           SELECT {LINE_COLUMNS} FROM lineitem WHERE l_partkey % 5 = 0)
+            SELECT (SELECT count(*) FROM twice) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice))
+                   AS duplicate_rows""",
         "length_violations": with_tables(union_of(
             [
                 f"""SELECT '{c}' AS column_name, cast({n} AS int) AS max_length,
@@ -360,8 +385,9 @@ def statements() -> dict[str, str]:
             ]
         )),
         "nan_to_null": with_tables(f"""
-            SELECT ewrb_id, reporting_year, CASE WHEN reporting_year <> 1997 THEN {TARGET} END AS {TARGET}
-            FROM energy_performance"""),
+            SELECT ewrb_id, energy_star_score, reporting_year, {", ".join(
+                f"CASE WHEN reporting_year <> {1995 + k % 7} THEN {c} END AS {c}" for k, c in enumerate(MEASURES)
+            )} FROM energy_performance"""),
         "quality_report": with_tables(rule_rows("buildings", "energy_performance", 2000, 2100)),
         "quality_report_broken": f"{broken} {rule_rows('buildings', 'broken', 1996, 2000)}",
         "orphan_rows": f"""{broken}
@@ -485,6 +511,13 @@ def statements() -> dict[str, str]:
         "hash_split": with_split("SELECT ewrb_id, is_test FROM split"),
         "exact_split": with_known(split_query("known", "ewrb_id")),
         "exact_split_large": split_query("orders", "o_orderkey"),
+        "exact_split_missing_key": f"""
+            WITH keyed AS (SELECT CASE WHEN o_orderkey <> 7 THEN o_orderkey END AS o_orderkey FROM orders),
+            hashed AS (SELECT o_orderkey, coalesce(md5('42:' || o_orderkey), md5('42')) AS h FROM keyed)
+            SELECT o_orderkey, row_number() OVER (ORDER BY h, o_orderkey) <= ceil(0.2 * count(*) OVER ())
+                   AS is_test FROM hashed""",
+        "quantiles_with_infinities": ODD_QUANTILES,
+        "quantiles_with_infinities_large": ODD_QUANTILES,
         "label_check": with_split(f"""
             SELECT is_test, count(*) AS n_rows, count(*) - count({TARGET}) AS missing_labels
             FROM split GROUP BY is_test"""),

@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPLIT_ROWS = 150
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"]
+LINE_PAYLOAD = ["l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 TIGHT_LIMITS = {"ewrb_id": 3, "city": 8, "primary_property_type": 9}
 QUERIES: dict[str, Query] = {}
 
@@ -56,7 +57,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, *LINE_ORDER)
+    return views.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, *LINE_ORDER, *LINE_PAYLOAD)
 
 
 # Analysis queries
@@ -248,7 +249,10 @@ def rejected_scores(spark, sf_dir):
 
 @register
 def duplicate_rows(spark, sf_dir):
-    return clean.duplicate_rows(lines(spark, sf_dir).select(*LINE_KEYS))
+    """Complete rows, some of them twice; a column with NULLs among them."""
+    rows = lines(spark, sf_dir)
+    gapped = rows.withColumn("l_linenumber", F.when(F.col("l_linenumber") != 3, F.col("l_linenumber")))
+    return clean.duplicate_rows(gapped.unionByName(rows.where(F.col("l_partkey") % 5 == 0)))
 
 
 @register
@@ -258,11 +262,13 @@ def length_violations(spark, sf_dir):
 
 @register
 def nan_to_null(spark, sf_dir):
-    energy = views.energy(spark, sf_dir).select(S.KEY, S.YEAR, S.TARGET)
-    with_nan = energy.withColumn(
-        S.TARGET, F.when(F.col(S.YEAR) == 1997, F.lit(float("nan"))).otherwise(F.col(S.TARGET))
-    )
-    return clean.null_out_nan(with_nan)
+    """NaN in another year of each measure."""
+    measures = [name for name, kind in views.energy(spark, sf_dir).dtypes if kind == "double"]
+    odd = {
+        name: F.when(F.col(S.YEAR) == 1995 + k % 7, F.lit(float("nan"))).otherwise(F.col(name))
+        for k, name in enumerate(measures)
+    }
+    return clean.null_out_nan(views.energy(spark, sf_dir).withColumns(odd))
 
 
 # Quality rules
@@ -360,6 +366,43 @@ def price_quantiles_by_large_flag(spark, sf_dir):
     )
 
 
+def odd_prices(spark, sf_dir):
+    """Prices with infinities and NaN among them."""
+    order = F.col("l_orderkey")
+    odd = (
+        F.when(order % 17 == 0, F.lit(float("inf")))
+        .when(order % 19 == 0, F.lit(float("-inf")))
+        .when(order % 23 == 0, F.lit(float("nan")))
+        .otherwise(F.col("l_extendedprice"))
+    )
+    return views.table(spark, sf_dir, "lineitem").select("l_returnflag", odd.alias("x"))
+
+
+def odd_quantiles(spark, sf_dir, **settings):
+    wanted = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "highest": 1.0}
+    found = exact_quantiles(odd_prices(spark, sf_dir), "x", wanted, ["l_returnflag"], **settings)
+    return rounded(
+        found.select(
+            "l_returnflag",
+            "n",
+            "q1",
+            "median",
+            (F.col("lowest") == float("-inf")).alias("lowest_is_infinite"),
+            F.isnan("highest").alias("highest_is_nan"),
+        )
+    )
+
+
+@register
+def quantiles_with_infinities(spark, sf_dir):
+    return odd_quantiles(spark, sf_dir)
+
+
+@register
+def quantiles_with_infinities_large(spark, sf_dir):
+    return odd_quantiles(spark, sf_dir, max_rows=SPLIT_ROWS)
+
+
 @register
 def type_counts(spark, sf_dir):
     return ranking.category_counts(model_frame(spark, sf_dir), "largest_property_type")
@@ -506,6 +549,13 @@ def exact_split_large(spark, sf_dir):
     return features.exact_split(frame, "o_orderkey", max_rows=SPLIT_ROWS)
 
 
+@register
+def exact_split_missing_key(spark, sf_dir):
+    """One row has no key; it falls on a side like any other."""
+    key = F.when(F.col("o_orderkey") != 7, F.col("o_orderkey")).alias("o_orderkey")
+    return features.exact_split(views.table(spark, sf_dir, "orders").select(key), "o_orderkey")
+
+
 @register
 def label_check(spark, sf_dir):
     return features.label_check(prepared(spark, sf_dir))
