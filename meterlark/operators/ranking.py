@@ -20,15 +20,18 @@ def rank_within(
     value: str,
     name: str,
     max_rows: int = MAX_ROWS_PER_TASK,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add the descending rank of a non-null `value` inside `group`, with gaps after ties.
 
     A window holds a whole group in one task, so it is used as is only when the largest
     group was counted and fits. Otherwise the large groups are cut at values taken from a
     sketch of their distribution. The rank is then the rank inside the value range plus the
-    number of rows in the ranges above, whatever the cuts are; they only decide balance.
+    number of rows in the ranges above, whatever the cuts are; they only decide balance. Runs
+    jobs; pass the row count of the `largest` group where it is known, to save counting.
     """
-    largest = df.groupBy(group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest is None:
+        largest = df.groupBy(group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= max_rows:
         descending = Window.partitionBy(group).orderBy(F.col(value).desc())
         return df.withColumn(name, F.rank().over(descending).cast("bigint"))

@@ -96,32 +96,47 @@ def load_tables(
     folder: str,
     buildings: DataFrame,
     energy: DataFrame,
-    building_order: Sequence[str] = (),
-    energy_order: Sequence[str] = (),
+    building_order: Sequence[str],
+    energy_order: Sequence[str],
 ) -> tuple[DataFrame, DataFrame]:
-    """Append the new buildings, then the new measures, and return both tables.
-
-    Each append is one Spark write job whose output only appears when the whole job succeeds.
-    A broken rule raises inside its job: a bad building batch loads nothing, a bad measure
-    batch leaves the buildings of the same call in place.
+    """Load the new buildings and the new measures, and return both tables. Runs jobs.
+
+    The order columns tell which of several rows with one key came first. Both batches are
+    staged in the shared folder and validated before anything is published; a broken rule raises
+    there and leaves both tables as they were. Buildings are then published before measures, each
+    by one Spark write job whose output only appears when the whole job succeeds, so that no
+    reader meets a measure without its building. Measures get ids that go on after the largest
+    one loaded. They are stored by year, and only the batch's years are read to find known keys.
+    Loads of one folder must not overlap.
     """
     building_path, energy_path = f"{folder}/buildings", f"{folder}/energy_performance"
     known = _existing(spark, building_path, S.BUILDINGS)
     checked = enforce_lengths(enforce_present(buildings.select(*S.BUILDINGS.names, *_extra(building_order, S.BUILDINGS)), [S.KEY]))
-    fresh = insert_if_absent(checked, known, [S.KEY], building_order)
-    fresh.select(*S.BUILDINGS.names).write.mode("append").parquet(building_path)
-    loaded = read_table(spark, building_path, S.BUILDINGS)
+    new_buildings = insert_if_absent(checked, known, [S.KEY], building_order)
+    new_buildings = materialize(new_buildings.select(*S.BUILDINGS.names), "building-batch")
 
-    known = _existing(spark, energy_path, S.ENERGY)
     measures = null_out_nan(energy.select(*S.ENERGY.names, *_extra(energy_order, S.ENERGY)))
     measures = enforce_lengths(measures, {S.KEY: S.TEXT_LIMITS[S.KEY]})
-    fresh = insert_if_absent(measures, known, [S.KEY, S.YEAR], energy_order).select(*S.ENERGY.names)
-    fresh = materialize(fresh, "energy-batch")
-    orphans = orphan_summary(fresh, loaded, S.KEY).first()["orphan_rows"]
+    stored = _existing(spark, energy_path, S.ENERGY_WITH_ID)
+    start, present = 1, None
+    if stored is not None:
+        start = (stored.agg(F.max("performance_id")).first()[0] or 0) + 1
+        # One row per year.
+        years = [r[S.YEAR] for r in measures.select(S.YEAR).distinct().collect()]
+        present = stored.where(F.col(S.YEAR).isin([y for y in years if y is not None]))
+    new_measures = insert_if_absent(measures, present, [S.KEY, S.YEAR], energy_order)
+    order = list(dict.fromkeys([S.KEY, S.YEAR, *energy_order]))
+    new_measures = with_dense_id(new_measures, "performance_id", order, start)
+    new_measures = materialize(new_measures.select(*S.ENERGY_WITH_ID.names), "energy-batch")
+    parents = new_buildings if known is None else known.unionByName(new_buildings)
+    orphans = orphan_summary(new_measures, parents, S.KEY).first()["orphan_rows"]
     if orphans:
         raise ValueError(f"{orphans} energy rows refer to a building that is not loaded")
-    fresh.write.mode("append").parquet(energy_path)
-    return loaded, read_table(spark, energy_path, S.ENERGY)
+
+    new_buildings.write.mode("append").parquet(building_path)
+    new_measures.write.mode("append").partitionBy(S.YEAR).parquet(energy_path)
+    stored = read_table(spark, energy_path, S.ENERGY_WITH_ID)
+    return read_table(spark, building_path, S.BUILDINGS), stored.select(*S.ENERGY_WITH_ID.names)
 
 
 def _extra(order: Sequence[str], schema) -> list[str]:

@@ -74,6 +74,10 @@ def loaded(spark, folder):
     return {r["ewrb_id"]: r["city"] for r in b.collect()}
 
 
+def load_all(spark, folder, buildings, energy):
+    return load.load_tables(spark, folder, buildings, energy, ["city"], [S.TARGET])
+
+
 def make(spark, buildings, energies):
     text = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.BUILDINGS)
     return spark.createDataFrame(buildings, text), spark.createDataFrame(energies, S.ENERGY)
@@ -81,32 +85,49 @@ def make(spark, buildings, energies):
 
 def test_load_is_idempotent_and_never_updates(spark):
     folder = fresh_path(spark, "test-load")
-    load.load_tables(spark, folder, *make(spark, [building("1")], [energy("1")]))
+    load_all(spark, folder, *make(spark, [building("1")], [energy("1")]))
     for _ in range(2):
-        b, e = load.load_tables(
+        b, e = load_all(
             spark,
             folder,
             *make(spark, [building("1", "Changed"), building("2")], [energy("1"), energy("2", eui=float("nan"))]),
         )
     assert loaded(spark, folder) == {"1": "Ottawa", "2": "Ottawa"}
-    assert pairs(e.select("ewrb_id", "site_eui_gj_m2")) == [("1", 1.0), ("2", None)]
+    assert pairs(e.select("performance_id", "ewrb_id", "site_eui_gj_m2")) == [(1, "1", 1.0), (2, "2", None)]
 
 
 def test_a_bad_building_batch_loads_nothing(spark):
     folder = fresh_path(spark, "test-load")
-    load.load_tables(spark, folder, *make(spark, [building("1")], [energy("1")]))
+    load_all(spark, folder, *make(spark, [building("1")], [energy("1")]))
     for bad in (building("12345678901"), building(None)):
         with pytest.raises(PySparkException):
-            load.load_tables(spark, folder, *make(spark, [building("2"), bad], [energy("2")]))
+            load_all(spark, folder, *make(spark, [building("2"), bad], [energy("2")]))
     assert loaded(spark, folder) == {"1": "Ottawa"}
 
 
-def test_orphans_stop_the_measures_but_not_the_buildings(spark):
+def test_the_first_row_by_the_given_order_is_loaded(spark):
+    b, e = make(spark, [building("1", "Zed"), building("1", None)], [energy("1", eui=5.0), energy("1", eui=2.0)])
+    b = b.withColumn("line", F.when(F.col("city") == "Zed", 1).otherwise(2))
+    e = e.withColumn("line", -F.col("site_eui_gj_m2"))
+    b, e = load.load_tables(spark, fresh_path(spark, "test-load"), b, e, ["line"], ["line"])
+    assert pairs(b.select("city")) == [("Zed",)] and pairs(e.select("site_eui_gj_m2")) == [(5.0,)]
+
+
+def test_known_keys_are_sought_in_the_years_of_the_batch_only(spark):
+    folder = fresh_path(spark, "test-load")
+    load_all(spark, folder, *make(spark, [building("1")], [energy("1", 2023), energy("1", 2024)]))
+    _, e = load_all(spark, folder, *make(spark, [building("1")], [energy("1", 2024), energy("1", 2025)]))
+    assert pairs(e.select("performance_id", "reporting_year")) == [(1, 2023), (2, 2024), (3, 2025)]
+    plan = e.where(F.col(S.YEAR).isin([2024, 2025]))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [reporting_year" in plan
+
+
+def test_a_bad_batch_leaves_both_tables_as_they_were(spark):
     folder = fresh_path(spark, "test-load")
-    load.load_tables(spark, folder, *make(spark, [building("1")], [energy("1")]))
+    load_all(spark, folder, *make(spark, [building("1")], [energy("1")]))
     with pytest.raises(ValueError, match="1 energy rows"):
-        load.load_tables(spark, folder, *make(spark, [building("2")], [energy("2"), energy("9")]))
-    assert set(loaded(spark, folder)) == {"1", "2"}
+        load_all(spark, folder, *make(spark, [building("2")], [energy("2"), energy("9")]))
+    assert set(loaded(spark, folder)) == {"1"}
     e = files.read_table(spark, f"{folder}/energy_performance", S.ENERGY)
     assert pairs(e.select("ewrb_id")) == [("1",)]
 

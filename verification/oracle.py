@@ -144,14 +144,14 @@ ODD_QUANTILES = """
     FROM placed GROUP BY l_returnflag"""
 
 
-def rule_rows(buildings: str, energy: str, low: int, high: int) -> str:
+def rule_rows(buildings: str, energy: str, low: int, high: int, absent_b: int = 0, absent_e: int = 0) -> str:
     return f"""
     SELECT *, violations = 0 AS passed FROM (
-      SELECT 'expected_columns' AS rule, 'buildings' AS table_name, cast(0 AS bigint) AS violations
+      SELECT 'expected_columns' AS rule, 'buildings' AS table_name, cast({absent_b} AS bigint) AS violations
         FROM (SELECT count(*) FROM {buildings})
       UNION ALL SELECT 'key_present', 'buildings', count(*) FROM {buildings} WHERE ewrb_id IS NULL
       UNION ALL SELECT 'unique_key', 'buildings', count(ewrb_id) - count(DISTINCT ewrb_id) FROM {buildings}
-      UNION ALL SELECT 'expected_columns', 'energy_performance', cast(0 AS bigint)
+      UNION ALL SELECT 'expected_columns', 'energy_performance', cast({absent_e} AS bigint)
         FROM (SELECT count(*) FROM {energy})
       UNION ALL SELECT 'target_not_negative', 'energy_performance', count(*) FROM {energy}
         WHERE {TARGET} < 0
@@ -255,6 +255,16 @@ BASELINE = """
         FROM p, (SELECT avg(actual) AS a FROM p))"""
 
 
+REPORT = f"""WITH {TABLES}, predictions AS ({views.PREDICTIONS}),
+    results AS (
+        SELECT sequence, feature_set, model_name, concat(model_name, ' (', feature_set, ')') AS label,
+               count(*) AS n, avg(abs(actual - predicted)) AS mae,
+               sqrt(avg((actual - predicted) * (actual - predicted))) AS rmse,
+               1 - avg((actual - predicted) * (actual - predicted)) / var_pop(actual) AS r2
+        FROM predictions GROUP BY ALL)"""
+SCORES = "round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2"
+
+
 def split_query(source: str, key: str) -> str:
     return f"""
     SELECT {key}, row_number() OVER (ORDER BY md5(concat('42:', {key})), {key})
@@ -355,7 +365,8 @@ def statements() -> dict[str, str]:
         "load_twice": with_tables("""
             SELECT reporting_year, count(*) AS n_energy,
                    cast(sum(energy_star_score) AS bigint) AS sum_score,
-                   (SELECT count(*) FROM buildings) AS n_buildings
+                   count(*) AS n_ids, (SELECT count(*) FROM buildings) AS n_buildings,
+                   (SELECT count(*) FROM energy_performance) AS largest_id
             FROM energy_performance GROUP BY reporting_year"""),
         "dense_ids": with_tables("""
             SELECT row_number() OVER (ORDER BY ewrb_id, reporting_year) AS performance_id,
@@ -389,6 +400,9 @@ def statements() -> dict[str, str]:
                 f"CASE WHEN reporting_year <> {1995 + k % 7} THEN {c} END AS {c}" for k, c in enumerate(MEASURES)
             )} FROM energy_performance"""),
         "quality_report": with_tables(rule_rows("buildings", "energy_performance", 2000, 2100)),
+        "quality_report_missing_columns": with_tables(
+            rule_rows("buildings", "energy_performance", 2000, 2100, 2, 1)
+        ),
         "quality_report_broken": f"{broken} {rule_rows('buildings', 'broken', 1996, 2000)}",
         "orphan_rows": f"""{broken}
             SELECT count(*) FILTER (e.ewrb_id IS NOT NULL AND b.ewrb_id IS NULL) AS orphan_rows,
@@ -511,6 +525,24 @@ def statements() -> dict[str, str]:
         "hash_split": with_split("SELECT ewrb_id, is_test FROM split"),
         "exact_split": with_known(split_query("known", "ewrb_id")),
         "exact_split_large": split_query("orders", "o_orderkey"),
+        "report_scores": f"{REPORT} SELECT sequence, feature_set, model_name, n, {SCORES}, label FROM results",
+        "report_best": f"""{REPORT}
+            SELECT 'mae' AS metric, arg_min(label, (mae, sequence)) AS label, round(min(mae), 6) AS value,
+                   true AS is_primary FROM results
+            UNION ALL SELECT 'rmse', arg_min(label, (rmse, sequence)), round(min(rmse), 6), false FROM results
+            UNION ALL SELECT 'r2', arg_min(label, (-r2, sequence)), round(max(r2), 6), false FROM results""",
+        "report_comparison": f"""{REPORT}
+            SELECT a.model_name, {", ".join(
+                f"round(a.{m}, 6) AS {m}_v1, round(b.{m}, 6) AS {m}_v2, round(b.{m} - a.{m}, 6) AS {m}_change"
+                for m in ("mae", "rmse", "r2")
+            )} FROM results a JOIN results b ON a.model_name = b.model_name
+            WHERE a.feature_set = 'v1' AND b.feature_set = 'v2'""",
+        "report_largest_errors": f"""{REPORT}
+            SELECT ewrb_id, city, primary_property_type, self_property_type, largest_property_type, postal_code,
+                   round(actual, 6) AS actual, round(predicted, 6) AS predicted,
+                   round(actual - predicted, 6) AS error, round(abs(actual - predicted), 6) AS absolute_error
+            FROM predictions WHERE sequence = (SELECT arg_min(sequence, (mae, sequence)) FROM results)
+            ORDER BY abs(actual - predicted) DESC, ewrb_id LIMIT 10""",
         "exact_split_missing_key": f"""
             WITH keyed AS (SELECT CASE WHEN o_orderkey <> 7 THEN o_orderkey END AS o_orderkey FROM orders),
             hashed AS (SELECT o_orderkey, coalesce(md5('42:' || o_orderkey), md5('42')) AS h FROM keyed)

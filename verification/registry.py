@@ -196,15 +196,21 @@ def insert_with_missing_keys(spark, sf_dir):
 
 @register
 def load_twice(spark, sf_dir):
-    """Row counts after loading half of the buildings, then everything twice."""
+    """Row counts and ids after loading half of the buildings, then everything twice."""
     buildings, energy = tables(spark, sf_dir)
     folder = fresh_path(spark, "load")
     half = F.col(S.KEY).cast("bigint") % 2 == 0
-    load.load_tables(spark, folder, buildings.where(half), energy.where(half))
+    order = ["city"], [S.TARGET]
+    load.load_tables(spark, folder, buildings.where(half), energy.where(half), *order)
     for _ in range(2):
-        b, e = load.load_tables(spark, folder, buildings, energy)
-    counts = e.groupBy(S.YEAR).agg(F.count("*").alias("n_energy"), F.sum(S.SCORE).alias("sum_score"))
-    return counts.withColumn("n_buildings", b.agg(F.count("*")).scalar())
+        b, e = load.load_tables(spark, folder, buildings, energy, *order)
+    counts = e.groupBy(S.YEAR).agg(
+        F.count("*").alias("n_energy"),
+        F.sum(S.SCORE).alias("sum_score"),
+        F.count_distinct("performance_id").alias("n_ids"),
+    )
+    largest = e.agg(F.max("performance_id")).scalar()
+    return counts.withColumns({"n_buildings": b.agg(F.count("*")).scalar(), "largest_id": largest})
 
 
 @register
@@ -286,6 +292,15 @@ def quality_report_broken(spark, sf_dir):
     )
 
 
+@register
+def quality_report_missing_columns(spark, sf_dir):
+    """Two columns of one table and one of the other are absent."""
+    buildings, energy = tables(spark, sf_dir)
+    return quality.quality_report(
+        buildings.drop("city", "postal_code"), energy.drop("gas_intensity_gj_m2")
+    )
+
+
 @register
 def orphan_rows(spark, sf_dir):
     return quality.orphan_summary(
@@ -622,6 +637,35 @@ def baseline_consistency(spark, sf_dir):
     return rounded(experiments.baseline_consistency(experiments.results_table(grid(spark, sf_dir))))
 
 
+# The reports over predictions that SQL makes, the same in both engines.
+
+
+def stated_predictions(spark, sf_dir):
+    return materialize(views.predictions(spark, sf_dir), "predictions")
+
+
+@register
+def report_scores(spark, sf_dir):
+    return rounded(experiments.results_table(stated_predictions(spark, sf_dir)))
+
+
+@register
+def report_best(spark, sf_dir):
+    return rounded(experiments.best_by_metric(experiments.results_table(stated_predictions(spark, sf_dir))))
+
+
+@register
+def report_comparison(spark, sf_dir):
+    table = experiments.results_table(stated_predictions(spark, sf_dir))
+    return rounded(experiments.compare_feature_sets(table))
+
+
+@register
+def report_largest_errors(spark, sf_dir):
+    predictions = stated_predictions(spark, sf_dir)
+    return rounded(experiments.errors_of_best(predictions, experiments.results_table(predictions)))
+
+
 @register
 def largest_errors_best(spark, sf_dir):
     predictions = grid(spark, sf_dir)
