@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="meterlark-"))
         folder = context.getCheckpointDir()
@@ -45,8 +47,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/meterlark-{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder. Folders of a `scratch` block go with the block."""
+    path = f"{shared_folder(spark)}/meterlark-{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the folders that the library writes inside the block when it ends; yields their list.
+
+    Results that read those folders must be written elsewhere before the block ends.
+    """
+    _SCOPES.append([])
+    try:
+        yield _SCOPES[-1]
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for made in _SCOPES.pop():
+            path = jvm.org.apache.hadoop.fs.Path(made)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
