@@ -13,7 +13,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.session import fresh_path, materialize
+from meterlark.session import materialize, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +36,9 @@ def ship_bytes(spark: SparkSession, data: bytes, label: str) -> str:
     The file is written to the shared folder first. Spark copies it to each executor that
     runs a task of the job, also to one that starts later.
     """
+    # Not a path of `scratch`: executors that start later fetch the file too.
     name = f"{label}-{uuid.uuid4().hex}"
-    uri = f"{fresh_path(spark, label)}/{name}"
+    uri = f"{shared_folder(spark)}/meterlark-shipped/{name}"
     fs, path = store(uri)
     fs.create_dir(os.path.dirname(path), recursive=True)
     with fs.open_output_stream(path, compression=None) as out:

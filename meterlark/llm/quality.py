@@ -19,6 +19,7 @@ labels (1 without labels), so nothing is rejected blindly. Extra columns are pas
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ BINS = 16
 #: Cells per side of the histogram of both margins, and its reach.
 CELLS, REACH = 128, 24.0
 MARKS = b"#$%&*|@~^<>{}[]\\/_+="
-CONTENT = ["length", "marks", "exclamation", "digits", "capitals", "spaces", "stops", "word_length", "distinct_words", "distinct_lines", "beyond_ascii", "long_words"]
+CONTENT = ["length", "marks", "exclamation", "digits", "capitals", "spaces", "stops", "word_length", "distinct_words", "distinct_lines", "beyond_ascii", "long_words", "repeats"]
 #: Metadata is hashed into this many values.
 HASHED = 64
 META_SIZE = 16 + 2 * HASHED
@@ -72,6 +73,7 @@ def content_features(text: str) -> list[int]:
         (len(set(lines)) / len(lines)) ** 2,
         kinds[8] / n,
         sum(len(x) > 20 for x in words) / w,
+        sum(map(eq, words, words[1:])) / w,
     ]
     bins = [min(BINS - 1, len(raw).bit_length()), *(min(BINS - 1, int(s**0.5 * BINS)) for s in shares)]
     return [k * BINS + b for k, b in enumerate(bins)]
