@@ -54,6 +54,11 @@ def rank_within(
         Window.unboundedPreceding, -1
     )
     ranges = placed.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    widest = None
+    if most == MAX_CUTS:
+        # So large a group may leave ranges that are too large; they are cut again.
+        ranges = materialize(ranges, "rank-ranges")
+        widest = ranges.where(F.col("_range") % 2 == 0).agg(F.max("_n")).first()[0]
     offsets = ranges.select(
         group,
         "_range",
@@ -63,6 +68,15 @@ def rank_within(
     offsets = materialize(offsets.where((F.col("_above") > 0) | (F.col("_parts") > 1)), "rank-offsets")
     small = small and offsets.count() <= BROADCAST_CUTS
     placed = attach(placed, offsets, [group, "_range"], "left", small)
+    if widest and widest > max_rows:
+        within, outer, inner = f"_{name}_within", f"_{name}_above", f"_{name}_inner"
+        nested = placed.select(
+            *df.columns,
+            F.struct(group, "_range").alias(within),
+            F.coalesce(F.col("_above"), F.lit(0)).alias(outer),
+        )
+        nested = rank_within(nested, within, value, inner, max_rows, widest)
+        return nested.select(*df.columns, (F.col(outer) + F.col(inner)).cast("bigint").alias(name))
     # Tied rows may be spread over several tasks: each of them has rank one in its part.
     part = F.when(
         F.col("_range") % 2 == 1,

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from meterlark.operators import features
+from meterlark.operators import features, ranking
 from meterlark.operators.quantiles import exact_quantiles
 from meterlark.operators.ranking import rank_within, top_k, top_k_matched
 from tests.conftest import pairs
@@ -88,6 +88,12 @@ def test_split_rank_equals_the_window(frame, max_rows):
     assert pairs(rank_within(known, "g", "x", "r", max_rows)) == pairs(direct)
 
 
+def test_ranges_that_stay_too_large_are_cut_again(frame, monkeypatch):
+    monkeypatch.setattr(ranking, "MAX_CUTS", 3)
+    known = frame.where(F.col("x").isNotNull())
+    assert pairs(rank_within(known, "g", "x", "r", 40)) == pairs(rank_within(known, "g", "x", "r"))
+
+
 def test_rank_leaves_gaps_after_ties(spark):
     df = spark.createDataFrame([("a", 3.0), ("a", 3.0), ("a", 1.0), ("b", 2.0)], "g string, x double")
     assert pairs(rank_within(df, "g", "x", "r")) == [
