@@ -30,14 +30,14 @@ CONTEXT = [
 
 @dataclass(frozen=True)
 class Forest:
-    """Forest settings. Spark grows trees down to 30 levels at most, which is the default.
+    """Forest settings. The depth has no default, since it cuts the trees; Spark allows 30 levels.
 
     `parts` is how many parts the training rows are cut into, by key and in key order. The
     draws of a forest follow rows and parts, so it is a setting, not a property of the machine.
     """
 
+    depth: int
     trees: int = 100
-    depth: int = 30
     seed: int = FE.SEED
     memory_mb: int = 512
     parts: int = 8
@@ -94,7 +94,7 @@ def _estimators(forest: Forest) -> list[tuple[str, object, bool]]:
 
     def linear():
         # One solver for every width of the encoding.
-        return LinearRegression(featuresCol="features", regParam=0.0, solver="l-bfgs", maxIter=500, tol=1e-10)
+        return LinearRegression(featuresCol="features", regParam=0.0, solver="l-bfgs", maxIter=100, tol=1e-7)
 
     def trees():
         return RandomForestRegressor(
@@ -132,7 +132,7 @@ class FittedSet:
 def fit_feature_set(
     frame: DataFrame,
     feature_set: str,
-    forest: Forest = Forest(),
+    forest: Forest,
     target: str = S.TARGET,
     only: Sequence[str] | None = None,
 ) -> FittedSet:
@@ -190,8 +190,8 @@ def predict(
 
 def run_grid(
     frame: DataFrame,
+    forest: Forest,
     feature_sets: Sequence[str] = tuple(FE.FEATURE_SETS),
-    forest: Forest = Forest(),
     target: str = S.TARGET,
     only: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -210,10 +210,15 @@ def run_grid(
     return grid
 
 
-def results_table(predictions: DataFrame) -> DataFrame:
-    """Scores per experiment, in the order the experiments ran."""
+def results_table(predictions: DataFrame, forest: Forest | None = None) -> DataFrame:
+    """Scores per experiment, in the order the experiments ran, with the forest's settings if given."""
     table = scores(predictions, ["sequence", "feature_set", "model_name"])
     label = F.concat("model_name", F.lit(" ("), "feature_set", F.lit(")"))
+    if forest:
+        grown = F.startswith(F.col("model_name"), F.lit("Random Forest"))
+        table = table.withColumns(
+            {"trees": F.when(grown, forest.trees), "depth": F.when(grown, forest.depth)}
+        )
     return table.withColumn("label", label).orderBy("sequence")
 
 

@@ -85,12 +85,13 @@ def frame(spark):
 
 @pytest.fixture(scope="module")
 def grid(frame):
-    return E.run_grid(frame, forest=E.Forest(trees=5, depth=6)).cache()
+    return E.run_grid(frame, E.Forest(trees=5, depth=6)).cache()
 
 
 def test_grid_runs_every_model_on_the_same_test_rows(frame, grid):
     n_test = frame.where("is_test").count()
-    table = E.results_table(grid).collect()
+    table = E.results_table(grid, E.Forest(trees=5, depth=6)).collect()
+    assert {(r["trees"], r["depth"]) for r in table if "Forest" in r["model_name"]} == {(5, 6)}
     assert [r["feature_set"] for r in table] == ["v1"] * 5 + ["v2"] * 5
     assert {r["n"] for r in table} == {n_test}
     assert len({r["model_name"] for r in table}) == 5
@@ -114,7 +115,7 @@ def test_grid_reports(grid):
 def test_forest_repeats_with_its_seed(frame):
     runs = [
         E.results_table(
-            E.run_grid(frame, ["v1"], E.Forest(trees=3, depth=4), only=["Random Forest"])
+            E.run_grid(frame, E.Forest(trees=3, depth=4), ["v1"], only=["Random Forest"])
         ).collect()
         for _ in range(2)
     ]
@@ -127,7 +128,7 @@ def test_forest_does_not_depend_on_the_layout_of_its_rows(frame):
     runs = [
         sorted(
             (r[S.KEY], r["predicted"])
-            for r in E.run_grid(layout, ["v1"], E.Forest(trees=3, depth=4), only=["Random Forest"])
+            for r in E.run_grid(layout, E.Forest(trees=3, depth=4), ["v1"], only=["Random Forest"])
             .where("model_name = 'Random Forest'")
             .collect()
         )
@@ -147,14 +148,14 @@ def test_linear_models_predict_the_means_of_their_categories(frame):
         .collect()
     }
     names = ["Linear Regression", "Linear Regression log1p"]
-    for r in E.run_grid(single, ["v1"], E.Forest(trees=1, depth=1), only=names).collect():
+    for r in E.run_grid(single, E.Forest(trees=1, depth=1), ["v1"], only=names).collect():
         if r["model_name"] in names:
             assert r["predicted"] == pytest.approx(wanted[r["city"]][names.index(r["model_name"])], rel=1e-4)
 
 
 def test_forests_stay_inside_the_range_of_their_training_target(frame):
     low, high = frame.where("not is_test").agg(F.min(S.TARGET), F.max(S.TARGET)).first()
-    grid = E.run_grid(frame, ["v2"], E.Forest(trees=4, depth=30), only=["Random Forest", "Random Forest log1p"])
+    grid = E.run_grid(frame, E.Forest(trees=4, depth=30), ["v2"], only=["Random Forest", "Random Forest log1p"])
     for r in grid.where("model_name like 'Random%'").collect():
         assert low - 1e-9 <= r["predicted"] <= high + 1e-9
 

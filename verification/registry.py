@@ -606,6 +606,7 @@ def largest_errors_baseline(spark, sf_dir):
     return rounded(experiments.largest_errors(experiments.median_predictions(frame)))
 
 
+FOREST = experiments.Forest(depth=10)
 _GRIDS: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -613,13 +614,13 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of the whole grid, written once per session: five queries report on them."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _GRIDS:
-        _GRIDS[at] = materialize(experiments.run_grid(prepared(spark, sf_dir)), "grid")
+        _GRIDS[at] = materialize(experiments.run_grid(prepared(spark, sf_dir), FOREST), "grid")
     return _GRIDS[at]
 
 
 @register
 def experiment_grid(spark, sf_dir):
-    return experiments.results_table(grid(spark, sf_dir))
+    return experiments.results_table(grid(spark, sf_dir), FOREST)
 
 
 @register
