@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlark.llm.common import ship_bytes, small_batches, texts_of
+from meterlark.session import materialize
 
 #: Words in the lexicon. Its size is bounded by this number, whatever the corpus.
 LEXICON_WORDS = 200_000
@@ -441,9 +442,22 @@ def word_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFra
 
 
 def fit_lexicon(docs: DataFrame, vocabulary: str, text: str = "text", words: int = LEXICON_WORDS) -> str:
-    """Compile the most frequent words of all texts and ship the file; runs a job."""
-    counts = word_counts(docs, vocabulary, text)
-    top = counts.where(F.length("word") <= LEXICON_BYTES).orderBy(F.desc("n"), "word").limit(words).collect()
+    """Compile the most frequent words of all texts and ship the file; runs jobs.
+
+    Counts are put into classes of nearly equal frequency, and as many of the highest classes are
+    compiled as have at most `words` words together, so that no more than these reach the driver.
+    Words that occur once are left to the merges.
+    """
+    level = F.floor(F.log2("n") * 16).cast("int")
+    repeated = word_counts(docs, vocabulary, text).where((F.col("n") > 1) & (F.length("word") <= LEXICON_BYTES))
+    counts = materialize(repeated.select("word", level.alias("level")), "words")
+    room, least = words, None
+    for r in counts.groupBy("level").count().orderBy(F.desc("level")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["level"]
+    top = counts.where(F.col("level") >= least).collect() if least is not None else []
     frequent = [bytes(r.word) for r in top]
     ids = vocabulary_of(vocabulary).words(frequent)
     return ship_bytes(docs.sparkSession, build_lexicon(dict(zip(frequent, ids, strict=True))), "lexicon")
