@@ -233,9 +233,3 @@ def text_profile(df: DataFrame, columns: Sequence[str], sequence: str) -> DataFr
             )
         )
     return df.agg(F.array(*aggregates).alias("_all")).select(F.inline("_all"))
-
-
-def value_range(df: DataFrame, column: str) -> DataFrame:
-    """One row: minimum, maximum and mean of a column."""
-    x = F.col(column)
-    return df.agg(F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"))

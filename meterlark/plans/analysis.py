@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterlark import schemas as S
 from meterlark.functions.scalar import round_half_away
-from meterlark.operators.ranking import MAX_ROWS_PER_TASK, category_counts, rank_within, top_k_matched
+from meterlark.operators.ranking import MAX_ROWS_PER_TASK, rank_within, top_k_matched
 
 PRIMARY_TYPE = "primary_property_type"
 GHG = "ghg_intensity_kgco2e_m2"
@@ -169,8 +169,3 @@ def rank_in_type(
     return ranked.orderBy(
         F.col(PRIMARY_TYPE).asc_nulls_last(), F.col("eui_rank_in_type").asc(), F.col(S.KEY).asc()
     )
-
-
-def type_frequencies(buildings: DataFrame) -> DataFrame:
-    """Frequency of the known property types."""
-    return category_counts(buildings, PRIMARY_TYPE)

@@ -377,6 +377,9 @@ def statements() -> dict[str, str]:
         "clean_energy": with_raw(f"""
             SELECT {key}, cast(2024 AS int) AS reporting_year, {clean_measures},
                    {whole(score_text)} AS energy_star_score FROM raw"""),
+        "raw_parquet_clean": with_raw(f"""
+            SELECT {key}, cast(2024 AS int) AS reporting_year, {clean_measures},
+                   {whole(score_text)} AS energy_star_score FROM raw"""),
         "clean_scores_lenient": with_raw(
             f"SELECT {key}, {whole(score_text)} AS energy_star_score FROM raw", True
         ),

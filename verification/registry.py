@@ -154,6 +154,15 @@ def parquet_round_trip(spark, sf_dir):
     return files.read_table(spark, path, S.ENERGY).select(*S.ENERGY.names)
 
 
+@register
+def raw_parquet_clean(spark, sf_dir):
+    """The raw sheet written as Parquet text, read back, and cleaned."""
+    path = fresh_path(spark, "raw-parquet")
+    sheet = views.raw(spark, sf_dir).drop("sheet_row")
+    files.write_table(sheet, path)
+    return clean.clean_energy(files.read_raw_parquet(spark, path, sheet.columns), year=2024)
+
+
 @register
 def csv_export(spark, sf_dir):
     path = fresh_path(spark, "model-csv")
