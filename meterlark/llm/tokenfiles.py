@@ -7,7 +7,7 @@ place of its frame, tokens before it in the file, each with one more entry for t
 a bit map of nulls after them); the place of the index (8 bytes); MAGIC. One document is read by
 its index entry and its frame alone. The dictionary is a file of its own in the same folder.
 
-Documents are ordered by id (nulls first, then by text where ids repeat) over all files. A task
+Documents are ordered by id (nulls first, then by a hash of the text where ids repeat) over all files. A task
 writes each file under a name of its own; the list of files is written by Spark's commit protocol
 and only listed files are read, so a lost attempt leaves nothing behind that is seen.
 
@@ -41,7 +41,7 @@ SAMPLE, SAMPLE_IDS, DICTIONARY_BYTES = 3000, 16_384, 64 * 1024
 #: A file is closed when it has more compressed bytes than this.
 FILE_BYTES = 512 << 20
 #: Words whose ids a worker remembers.
-REMEMBERED = 700_000
+REMEMBERED = 1_000_000
 LEVEL = 3
 
 
@@ -60,18 +60,37 @@ class LibraryEncoder:
 
     def packed(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned integers of this width."""
-        split = [t.encode("utf-8").split() for t in texts]
+        split = [_words(t) for t in texts]
         need = set().union(*split)
         if len(self.known) > REMEMBERED:
             self.known = {}
-        fresh = list(need.difference(self.known))
-        for k in range(0, len(fresh), 4096):
-            words = fresh[k : k + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(words, found, strict=True))
-        get, last = self.known.__getitem__, np.array([end], self.kind).tobytes()
+        fresh = need.difference(self.known)
+        # The vocabulary cuts between letters and a mark, so "word," is "word" and ",".
+        ending = {w: (w[:-1], w[-1:]) for w in fresh if w[-1:] in _MARKS and w[:-1].decode("utf-8").isalpha()}
+        self.ask(fresh.difference(ending))
+        self.ask({part for parts in ending.values() for part in parts})
+        known = self.known
+        known.update((w, known[a] + known[b]) for w, (a, b) in ending.items())
+        get, last = known.__getitem__, np.array([end], self.kind).tobytes()
         return [b"".join(map(get, words)) + last for words in split]
 
+    def ask(self, words: set[bytes]) -> None:
+        """Have the library encode those of the words that are not remembered."""
+        fresh = list(words.difference(self.known))
+        for k in range(0, len(fresh), 4096):
+            part = fresh[k : k + 4096]
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
+            self.known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(part, found, strict=True))
+
+
+_MARKS = (b",", b".", b";", b":", b"!", b"?")
+
+
+def _words(text: str) -> list[bytes]:
+    """Words between ASCII white space. A-Z may be lowered first, as the vocabulary does, unless special tokens can be there."""
+    raw = text.encode("utf-8")
+    return (raw if b"<|" in raw else raw.lower()).split()
+
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
 
@@ -207,9 +226,9 @@ def write(docs: DataFrame, vocabulary: str, end: int, folder: str | None = None,
         row = {"file": writer.name, "part": part, "number": number, "docs": len(writer.ids), "tokens": writer.tokens, "bytes": writer.place}
         return pa.RecordBatch.from_pylist([row], pa.schema([("file", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("docs", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64())]))
 
-    # The hash splits an id that very many rows share; equal ids stay together in order.
-    ordered = docs.select(F.col(key), F.col(text)).repartitionByRange(F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first())
+    # The hash splits an id that very many rows share. It stands for the text, since Spark samples what it ranges by.
+    order = [F.col(key).asc_nulls_first(), F.xxhash64(text).asc()]
+    ordered = docs.select(F.col(key), F.col(text)).repartitionByRange(*order).sortWithinPartitions(*order)
     return materialize(ordered.mapInArrow(run, "file string, part int, number int, docs long, tokens long, bytes long"), "token-files")
 
 

@@ -16,13 +16,17 @@ def library():
     return t
 
 
-def expected(library, rows):
-    out, start = [], 0
-    for k, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+def check(library, rows, got):
+    """Whether all documents are there, in order of their ids, one after the other."""
+    want = []
+    for k, text in rows:
         ids = [*library.encode(text or "", add_special_tokens=False).ids, END_ID]
-        out.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        start += len(ids)
-    return out
+        want.append((k, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    got = sorted(map(tuple, got), key=lambda r: r[1])
+    assert sorted(((k, n, crc) for k, _, n, crc in got), key=repr) == sorted(want, key=repr)
+    assert [k for k, *_ in got] == sorted((k for k, _ in rows), key=lambda k: (k is not None, k or 0))
+    assert [start for _, start, *_ in got] == [sum(n for _, _, n, _ in got[:i]) for i in range(len(got))]
+    return got
 
 
 TEXTS = [None, "", " \n", "Hello wörld it's 42", "a<|endoftext|>b <|ENDOFTEXT|>", "Σ ΑΣ\x85x\xa0y z\x1cw", "é Å 日本語 \U00010d50", "long " * 30000]
@@ -32,8 +36,7 @@ ROWS = [(7 * k % 100, t) for k, t in enumerate(TEXTS)] + [(None, "no id"), (None
 def test_files_equal_the_library(spark, library):
     docs = spark.createDataFrame([(k, t, 1) for k, t in ROWS], "doc_id long, text string, start int")
     files = tokenfiles.write(docs, WORD_BPE, END_ID)
-    got = sorted(map(tuple, tokenfiles.read(spark, files, digests=True).collect()), key=lambda r: r[1])
-    assert got == expected(library, ROWS)
+    got = check(library, ROWS, tokenfiles.read(spark, files, digests=True).collect())
     ids = {r.start: r.ids for r in tokenfiles.read(spark, files).collect()}
     for _, start, n, crc in got:
         assert len(ids[start]) == n and zlib.crc32(np.array(ids[start], "<u4").tobytes()) == crc
@@ -42,11 +45,11 @@ def test_files_equal_the_library(spark, library):
 def test_many_files_and_single_documents(spark, library, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    assert sorted(map(tuple, op10_token_files(spark, sf_dir).collect()), key=lambda r: r[1]) == expected(library, rows)
+    check(library, rows, op10_token_files(spark, sf_dir).collect())
     monkeypatch.setattr(tokenfiles, "FILE_BYTES", 5000)
     files = tokenfiles.write(docs, WORD_BPE, END_ID)
     assert files.count() > 8
-    assert sorted(map(tuple, tokenfiles.read(spark, files, digests=True).collect()), key=lambda r: r[1]) == expected(library, rows)
+    check(library, rows, tokenfiles.read(spark, files, digests=True).collect())
     reader = tokenfiles.FileReader(files.orderBy("part", "number").first()["file"])
     k = reader.ids[-1]
     assert reader.tokens(reader.find(k)[-1]).tolist() == [*library.encode(dict(rows)[k], add_special_tokens=False).ids, END_ID]
