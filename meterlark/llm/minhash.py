@@ -36,6 +36,8 @@ AGREEING = 20
 SALT_ROWS, BLOCK = 500, 2500
 #: Wanted texts up to this number are found by a broadcast of their ids.
 BROADCAST_ROWS = 400_000
+#: Ids of dropped documents up to this number are broadcast.
+BROADCAST_IDS = 1_000_000
 
 _MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _SHIFTS = [np.uint64(x) for x in (30, 27, 31)]
@@ -330,10 +332,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
-    """The rows of `docs` that are kept, all columns; of rows that repeat an id, one."""
-    found = materialize(near_duplicates(docs, key, text, words).select(key, "kept"), "kept")
-    several = found.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_copies"), F.max("kept").alias("_kept"))
-    marked = several.where("_copies > 1 or not _kept")
-    out = docs.join(marked, key, "left")
-    once = out.where("_copies is null").drop("_copies", "_kept")
-    return once.unionByName(out.where("_copies > 1 and _kept").dropDuplicates([key]).drop("_copies", "_kept"))
+    """The rows of `docs` that are kept, all columns; of rows that repeat an id, one. Runs jobs.
+
+    Documents are not shuffled as long as the ids to be dropped are few enough to be broadcast.
+    """
+    found = near_duplicates(docs, key, text, words).where(F.col(key).isNotNull())
+    per_id = found.groupBy(key).agg(F.count("*").alias("_copies"), F.max("kept").alias("_kept"))
+    special = materialize(per_id.where("_copies > 1 or not _kept"), "special-ids")
+    few = special.count() <= BROADCAST_IDS
+
+    def ids(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows.select(key)) if few else rows.select(key)
+
+    once = docs.join(ids(special), key, "left_anti").select(docs.columns)
+    repeated = special.where("_copies > 1 and _kept")
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(docs.join(ids(repeated), key, "left_semi").dropDuplicates([key]).select(docs.columns))
