@@ -1,7 +1,11 @@
 """Benchmark decontamination by templates: copies are found even with other numbers and names.
 
 Texts are cut into lower-case words without punctuation. Numbers, units after a number, and
-names (words with one capital that do not begin a sentence) become typed placeholders. A document
+names (words with one capital that do not begin a sentence) become typed placeholders. Line breaks
+do not end a sentence. The first word of an item counts both as it stands and as a name, since what
+comes before it in a document is not known. Where a document is in capitals throughout a window,
+the item's names are compared as they are. A copy in lower case has lost its names and is not
+found where they matter. A document
 holds an item if it has at least SHARE of the item's distinct windows of WORDS template words, and
 if the values behind the placeholders agree: a value that comes several times in the item must, in
 SHARE of its places at least, stand for one value of the document: the same one in exact copies,
@@ -51,7 +55,7 @@ NUMBER, UNIT, NAME = 1, 2, 3
 _GAP = np.zeros(256, bool)
 _GAP[list(b" \t\n\r\x0b\x0c.,;:!?\"()[]{}<>|*_#`'")] = True
 _END = np.zeros(256, bool)
-_END[list(b".!?\n:")] = True
+_END[list(b".!?:")] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[list(b"0123456789")] = True
 _POINT = np.zeros(256, bool)
@@ -65,15 +69,16 @@ class Words:
     """Words of a text: where each begins and ends, its hash and kind, and its template hash."""
 
     data: bytes
+    raw: bytes
     starts: np.ndarray
     ends: np.ndarray
     hashes: np.ndarray
     kinds: np.ndarray
     template: np.ndarray
 
-    def windows(self) -> np.ndarray:
-        """Hash of each window of WORDS template words, by position."""
-        t = self.template
+    def windows(self, template: np.ndarray | None = None) -> np.ndarray:
+        """Hash of each window of WORDS template words, by position; of other templates if given."""
+        t = self.template if template is None else template
         n = len(t) - WORDS + 1
         if n < 1:
             return np.zeros(0, np.uint64)
@@ -85,6 +90,25 @@ class Words:
     def value(self, at: int) -> bytes:
         return self.data[self.starts[at] : self.ends[at]]
 
+    def in_capitals(self, at: int) -> bool:
+        """Whether the window at a position has no small letter."""
+        window = self.raw[self.starts[at] : self.ends[at + WORDS - 1]].decode("utf-8", "replace")
+        return window == window.upper()
+
+    def others(self) -> list[tuple[int, int, bool]]:
+        """(hash, position, whether only for capitals) of windows that may read otherwise in a document."""
+        out = []
+        if len(self.template) >= WORDS and self.kinds[0] == 0:
+            word = self.raw[self.starts[0] : self.ends[0]].decode("utf-8", "replace")
+            if word[0].isupper() and word[1:] == word[1:].lower() and len(word) > 1:
+                begun = self.template[:WORDS].copy()
+                begun[0] = _RANDOM[520 + NAME]
+                out.append((int(self.windows(begun)[0]), 0, False))
+        if (self.kinds == NAME).any():
+            literal = self.windows(np.where(self.kinds == NAME, self.hashes, self.template))
+            out += [(int(literal[k]), int(k), True) for k in np.flatnonzero(literal != self.windows())]
+        return out
+
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = powers(len(data))
@@ -108,7 +132,7 @@ def words_of(text: str) -> Words:
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return Words(low, starts, ends, none, np.zeros(0, np.uint8), none)
+        return Words(low, raw, starts, ends, none, np.zeros(0, np.uint8), none)
     hashes = _hashes(data, starts, ends)
     kinds = np.zeros(len(starts), np.uint8)
     changed = np.concatenate([[0], np.cumsum(data != np.frombuffer(raw, np.uint8))])
@@ -124,7 +148,7 @@ def words_of(text: str) -> Words:
     kinds[(has_digit & (odd[ends] == odd[starts])) | np.isin(hashes, _NUMBER_HASHES)] = NUMBER
     follows = np.concatenate([[False], kinds[:-1] == NUMBER])
     kinds[follows & (kinds != NUMBER) & np.isin(hashes, _UNIT_HASHES)] = UNIT
-    return Words(low, starts, ends, hashes, kinds, np.where(kinds == 0, hashes, _RANDOM[520 + kinds.astype(np.int64)]))
+    return Words(low, raw, starts, ends, hashes, kinds, np.where(kinds == 0, hashes, _RANDOM[520 + kinds.astype(np.int64)]))
 
 
 def _listed(words: list[str]) -> np.ndarray:
@@ -153,6 +177,13 @@ class Block:
         self.keys, self.item, self.place = flat[order], item[order], place[order]
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.keys >> np.uint64(44)] = True
+        # Other readings: (index of the window's first key, item, place, whether only for capitals) by hash.
+        self.others: dict[int, list[tuple[int, int, int, bool]]] = defaultdict(list)
+        for i, w in enumerate(self.words):
+            for key, at, capitals in w.others():
+                self.others[key].append((int(np.searchsorted(self.keys, windows[i][at])), i, at, capitals))
+        self.other_keys = np.sort(np.fromiter(self.others, np.uint64, len(self.others)))
+        self.maybe[self.other_keys >> np.uint64(44)] = True
 
     def held(self, text: str) -> list[tuple[int, int, int, int, int]]:
         """(item id, windows of the item that the text has, all its windows, values, agreeing values) of each item held."""
@@ -163,15 +194,22 @@ class Block:
         some = np.flatnonzero(self.maybe[windows >> np.uint64(44)])
         low = np.searchsorted(self.keys, windows[some], "left")
         high = np.searchsorted(self.keys, windows[some], "right")
+        again = []
+        if len(self.other_keys):
+            place = np.minimum(np.searchsorted(self.other_keys, windows[some]), len(self.other_keys) - 1)
+            for at in some[self.other_keys[place] == windows[some]].tolist():
+                again += [(at, *o[:3]) for o in self.others[int(windows[at])] if not o[3] or words.in_capitals(at)]
         hit = high > low
         some, low, high = some[hit], low[hit], high[hit]
-        if not len(some):
+        if not len(some) and not again:
             return []
         # Windows of the text that are equal meet the same places; the first few hits decide nothing alone.
         distinct: dict[int, set[int]] = defaultdict(set)
         for a, b in {(int(a), int(b)) for a, b in zip(low, high, strict=True)}:
             for item in set(self.item[a:b].tolist()):
                 distinct[item].add(a)
+        for _, a, item, _ in again:
+            distinct[item].add(a)
         full = {i for i, found in distinct.items() if len(found) >= SHARE * self.sizes[i]}
         if not full:
             return []
@@ -180,6 +218,9 @@ class Block:
             for k in range(a, b):
                 if int(self.item[k]) in full:
                     pairs[int(self.item[k])].append((at, int(self.place[k])))
+        for at, _, item, place in again:
+            if item in full:
+                pairs[item].append((at, place))
         out = []
         for i in sorted(full):
             values, agreeing = self.agreement(words, self.words[i], pairs[i])

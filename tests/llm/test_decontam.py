@@ -83,3 +83,13 @@ def test_empty_tables(spark):
     assert [r.contaminated for r in decontam.report(docs, items.where("false")).collect()] == [False]
     assert decontam.report(docs.where("false"), items).count() == 0
     assert decontam.mark(docs, items).columns == ["doc_id", "text", "item_id", "held_items"]
+
+
+def test_copies_after_other_words_on_other_lines_and_in_capitals_are_found(spark):
+    short = "Which rivers cross the old town"
+    lines = "Some of the oldest towns of Portugal that the river Douro meets lie near Porto while others that travellers like lie near Coimbra or Braga"
+    texts = ["He asked, " + short + " and left", 'the heading\n"' + short + '"', FILL + short.replace("rivers", "roads").replace("old", "new"),
+             lines.replace(" Portugal", "\nPortugal").replace(" Douro", "\nDouro").replace(" Braga", "\nBraga"), QUESTION.upper()]
+    docs, items = frames(spark, texts, [short, lines, QUESTION])
+    got = {r.doc_id: r.item_ids for r in decontam.report(docs, items).collect()}
+    assert got == {0: [0], 1: [0], 2: [], 3: [1], 4: [2]}
