@@ -38,7 +38,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 #: Elements whose content is not markup.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg"}
 #: Elements that never hold main text.
-LEFT_OUT = set("nav footer aside form button select menu dialog figcaption head".split()) | RAW
+LEFT_OUT = set("nav footer aside form button select menu dialog head".split()) | RAW
 CONTAINERS = set("article main section div td body blockquote".split())
 BLOCKS = CONTAINERS | set(
     "address dd details dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li nav ol p pre summary table tbody tfoot thead th tr ul aside menu".split()
@@ -53,38 +53,55 @@ BAD_WORDS = set(
     "sharing social related recommended newsletter subscribe subscription signup login popup modal overlay paywall pagination pager skip hidden complementary contentinfo search".split()
 )
 TAG = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>")
-ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-WORD = re.compile(r"[a-z]+")
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Words that may stand beside a bad one in the name of the part itself: ad-box, cookie-notice, site-footer.
+PART_WORDS = set("box bar area block container wrapper wrap section list form panel inner outer main site page global top bottom left right primary secondary links buttons item items text message unit slot title".split())
+#: Words of article or main elements that are not the page's own.
+OTHER_ARTICLES = {"comment", "comments", "reply", "related", "sponsored", "ad", "promo"}
+NAME = re.compile(r"[a-z]+")
+
+
+def _names_part(name: str, bad: set[str]) -> bool:
+    """Whether a whole class, id or role names a part that is not main text: of bad words and PART_WORDS alone."""
+    words = NAME.findall(name)
+    if not words or bad.isdisjoint(words):
+        return False
+    return all(w in bad or w in PART_WORDS for w in words)
 
 
 class Element:
     """An open element: its tag, path, whether it is left out, and the container that its text counts for."""
 
-    __slots__ = ("container", "left_out", "path", "semantic", "tag")
+    __slots__ = ("by_name", "container", "left_out", "path", "semantic", "tag")
 
-    def __init__(self, tag: str, path: str, left_out: bool, container: str, semantic: bool) -> None:
+    def __init__(self, tag: str, path: str, left_out: bool, container: str, semantic: bool, by_name: bool = False) -> None:
         self.tag, self.path, self.left_out, self.container, self.semantic = tag, path, left_out, container, semantic
+        #: Left out only for names that do not hold for an article or main below.
+        self.by_name = by_name
 
 
 ROOT = Element("", "", False, "", False)
 
 
 def _opened(tag: str, attributes: str, parent: Element) -> Element:
-    classes, bad, names = "", False, {}
-    if attributes and "=" in attributes:
+    classes, bad, named, names = "", False, False, {}
+    if attributes:
         names = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
         classes = "".join("." + re.sub(r"\d+", "0", c) for c in sorted(names.get("class", "").lower().split()))
-        words = WORD.findall(f"{names.get('class', '')} {names.get('id', '')} {names.get('role', '')}".lower())
-        bad = tag not in ("html", "body", "article", "main") and not BAD_WORDS.isdisjoint(words)
-        bad = bad or (tag in ("article", "main") and not {"comment", "comments", "reply", "related", "sponsored", "ad", "promo"}.isdisjoint(words))
-        bad = bad or names.get("aria-hidden") == "true"
-    if re.search(r"(?:^|\s)hidden(?:\s|$)", attributes or ""):
-        bad = True
-    left_out = parent.left_out or bad or tag in LEFT_OUT or (tag == "header" and not parent.semantic)
+        tokens = f"{names.get('class', '')} {names.get('id', '')} {names.get('role', '')}".lower().split()
+        if tag not in ("html", "body"):
+            of = OTHER_ARTICLES if tag in ("article", "main") else BAD_WORDS
+            parts = [t for t in tokens if _names_part(t, of)]
+            bad = any(not OTHER_ARTICLES.isdisjoint(NAME.findall(t)) for t in parts)
+            named = bool(parts) and not bad
+        bad = bad or names.get("aria-hidden") == "true" or "hidden" in names
+    hard = bad or tag in LEFT_OUT or (tag == "header" and not parent.semantic) or (parent.left_out and not parent.by_name)
+    named = named or (parent.by_name and tag not in ("article", "main"))
+    left_out = hard or named
     path = f"{parent.path}>{tag}{classes}" if tag in CONTAINERS else parent.path
     semantic = parent.semantic or tag in ("article", "main")
     container = parent.container if parent.semantic or tag not in CONTAINERS else path
-    return Element(tag, path, left_out, container, semantic)
+    return Element(tag, path, left_out, container, semantic, named and not hard)
 
 
 def blocks(page: str) -> Iterator[tuple[Element, str, int]]:

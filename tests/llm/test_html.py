@@ -63,3 +63,15 @@ def test_large_tables_of_paths_are_joined(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert html.main_texts(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("wrapper", ["class='content no-sidebar'", "id='page-with-widget'", "class='post has-comments'", "class='sidebar-wrapper'", "data-title='The hidden costs of'", "title='a hidden gem'"])
+def test_wrappers_that_only_mention_a_part_are_kept(wrapper):
+    page = f"<body><div {wrapper}><article><p>{LONG}</p><figure><figcaption>Caption</figcaption></figure></article></div></body>"
+    assert html.extract(page, {html.vote(page)}) == LONG.strip() + "\n\nCaption"
+
+
+@pytest.mark.parametrize("part", ["class='site-footer'", "class='x ad-box'", "id=cookie-notice", "hidden=''", "HIDDEN", "role='navigation'"])
+def test_named_parts_are_left_out(part):
+    page = f"<body><p>{LONG}</p><div {part}><p>{LONG}</p></div></body>"
+    assert html.extract(page, {html.vote(page)}) == LONG.strip()
