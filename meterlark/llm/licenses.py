@@ -178,7 +178,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     `licences` holds the names of all rules that fire, sorted, joined by commas; empty if none do.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    some = F.lower(body).rlike("|".join(TRIGGERS))
+    # A line may be wrapped inside a trigger.
+    some = F.lower(body).rlike("|".join(TRIGGERS).replace(" ", r"\s+"))
     rows = docs.select(F.col(key), F.when(some, body).alias("_body"))
     rows = rows.select(
         key,

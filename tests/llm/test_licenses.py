@@ -51,3 +51,10 @@ def test_equals_sql(spark, sf_dir):
     want = sorted(con.execute(licenses.oracle_sql()).fetchall())
     assert sorted(map(tuple, licenses.scan(docs).collect())) == want
     assert any(r[1] for r in want)
+
+
+def test_a_line_may_be_wrapped_inside_a_trigger(spark):
+    text = "This is free and unencumbered software released into the public{}domain."
+    docs = spark.createDataFrame([(1, text.format(" ")), (2, text.format("\n"))], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in licenses.scan(docs).collect()}
+    assert got[1] and got[2] == got[1]
