@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, decontam, embeddings, html, licenses, minhash, quality, tokenfiles, toxicity, warc
+from meterlark.llm import bpe, decontam, embeddings, html, licenses, minhash, quality, sharding, tokenfiles, toxicity, vectorcodes, warc
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: The id that ends each document in token files.
 END_ID = 2
+#: Shards into which documents are dealt.
+SHARDS = 24
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +82,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, files, digests=True)
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_warc": op2_warc,
@@ -91,6 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
+    "op12_sharding": op12_sharding,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_licences": licenses.oracle_sql()}
