@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlark.llm import bpe, decontam, embeddings, html, licenses, minhash, quality, sharding, tokenfiles, toxicity, vectorcodes, warc
+from meterlark.llm import bpe, decontam, embeddings, html, licenses, minhash, prefixtrie, quality, sharding, tokenfiles, toxicity, vectorcodes, warc
 from meterlark.llm.common import table
 
 #: The vocabulary file; its place is a parameter of every operator that reads it.
@@ -82,6 +82,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, files, digests=True)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.rebuilt_prefixes(table(spark, sf_dir, "conversations"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -104,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_sharding": op12_sharding,
     "op13_vector_codes": op13_vector_codes,
 }
