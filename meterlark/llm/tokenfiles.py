@@ -21,12 +21,14 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +48,7 @@ LEVEL = 3
 
 
 class LibraryEncoder:
-    """The tokenizers library, asked once for each distinct word."""
+    """The tokenizers library, asked once for each distinct word, and for simple words once for each part."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,23 +58,53 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        #: Of each id whether it ends a piece, if the vocabulary tells.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool) if suffix else None
+        for token, k in vocabulary.items() if suffix else ():
+            self.ends[k] = token.endswith(suffix)
 
     def packed(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned integers of this width."""
-        split = [_words(t) for t in texts]
-        need = set().union(*split)
+        split = pc.ascii_split_whitespace(pa.array([_lowered(t) for t in texts], pa.binary()).cast(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        fresh = need.difference(self.known)
-        # The vocabulary cuts between letters and a mark, so "word," is "word" and ",".
-        ending = {w: (w[:-1], w[-1:]) for w in fresh if w[-1:] in _MARKS and w[:-1].decode("utf-8").isalpha()}
-        self.ask(fresh.difference(ending))
-        self.ask({part for parts in ending.values() for part in parts})
+            self.known = {b"": b""}
+        self.learn(set(words).difference(self.known))
+        found = [self.known[w] for w in words]
+        ids, ends = np.frombuffer(b"".join(found), self.kind), np.cumsum([0, *map(len, found)]) // np.dtype(self.kind).itemsize
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        stops = np.cumsum(ends[word + 1] - ends[word])
+        starts = np.concatenate([[0], stops])
+        every = ids[np.arange(starts[-1]) + np.repeat(ends[word] - starts[:-1], np.diff(starts))]
+        edges = starts[split.offsets.to_numpy()].tolist()
+        last = np.array([end], self.kind).tobytes()
+        return [every[x:y].tobytes() + last for x, y in zip(edges[:-1], edges[1:], strict=True)]
+
+    def learn(self, fresh: set[bytes]) -> None:
+        """Find the ids of words that are not remembered."""
+        # Letters and the marks behind them are two pieces for the vocabulary, whatever stands around them.
+        cut = {w: m.groups() for w in fresh if (m := _LETTERS_MARKS(w))} if self.ends is not None else {}
+        self.ask(fresh.difference(cut))
+        self.ask_pieces({piece for pieces in cut.values() for piece in pieces if piece})
         known = self.known
-        known.update((w, known[a] + known[b]) for w, (a, b) in ending.items())
-        get, last = known.__getitem__, np.array([end], self.kind).tobytes()
-        return [b"".join(map(get, words)) + last for words in split]
+        known.update((w, known[a] + known[b]) for w, (a, b) in cut.items() if b)
+
+    def ask_pieces(self, pieces: set[bytes]) -> None:
+        """The same as `ask` for words of one piece each, many in one text: where a piece ends is seen in its ids."""
+        fresh = list(pieces.difference(self.known))
+        for k in range(0, len(fresh), 4096):
+            part = fresh[k : k + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode("utf-8")], add_special_tokens=False)[0].ids, self.kind)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):
+                self.ask(set(part))
+                continue
+            packed, places = ids.tobytes(), (stops * ids.itemsize).tolist()
+            self.known.update((w, packed[a:b]) for w, a, b in zip(part, [0, *places[:-1]], places, strict=True))
 
     def ask(self, words: set[bytes]) -> None:
         """Have the library encode those of the words that are not remembered."""
@@ -83,13 +115,20 @@ class LibraryEncoder:
             self.known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(part, found, strict=True))
 
 
-_MARKS = (b",", b".", b";", b":", b"!", b"?")
+# Letters of U+00C0 to U+024F but U+0130, whose lower case is a letter and a combining mark, and ASCII marks behind them, in UTF-8.
+_LETTERS_MARKS = re.compile(
+    rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)([!-/:-@\[-`{-~]*)"
+).fullmatch
 
 
-def _words(text: str) -> list[bytes]:
-    """Words between ASCII white space. A-Z may be lowered first, as the vocabulary does, unless special tokens can be there."""
+def _lowered(text: str) -> bytes:
+    """The text in UTF-8; its words are what stands between ASCII white space.
+
+    A-Z are lowered first, as the vocabulary does later, unless special tokens can be there or
+    marks of U+0300 to U+037F, with which a small letter may have a composed form that its capital lacks.
+    """
     raw = text.encode("utf-8")
-    return (raw if b"<|" in raw else raw.lower()).split()
+    return raw if b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw else raw.lower()
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -210,7 +249,7 @@ def write(docs: DataFrame, vocabulary: str, end: int, folder: str | None = None,
     def run(batches):
         encoder = library_encoder(vocabulary)
         part, number, writer = TaskContext.get().partitionId(), 0, None
-        for batch in small_batches(batches, 256, 1):
+        for batch in small_batches(batches, 4096, 1, 8_000_000):
             for k, packed in zip(batch.column(0).to_pylist(), encoder.packed(texts_of(batch.column(1)), end), strict=True):
                 writer = writer or FileWriter(f"{folder}/{uuid.uuid4().hex}.tokens", dictionary, encoder.kind, end)
                 writer.add(k, packed)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -33,6 +34,20 @@ TEXTS = [None, "", " \n", "Hello wörld it's 42", "a<|endoftext|>b <|ENDOFTEXT|>
 ROWS = [(7 * k % 100, t) for k, t in enumerate(TEXTS)] + [(None, "no id"), (None, None), (7, "again"), (7, "again"), (-5, "before")]
 
 
+def test_any_text_equals_the_library(library):
+    rng = random.Random(11)
+    ranges = [(33, 127), (33, 127), (0xC0, 0x250), (0x100, 0x180), (0x300, 0x340), (0x370, 0x400), (0x1E00, 0x1F00), (0x2000, 0x2070), (0x3040, 0x3100), (0x1F600, 0x1F640)]
+    extra = [" ", " ", "\n", "\t", "\u0130", "i\u0307", "'s", "'", "\xa0", "\x85", "<|", "<|endoftext|>", "...", "DEN\u0130.", "ß", "ẞ", "Σ", "ŉ", "ǅ", "×", "÷"]
+    texts = ["".join(rng.choice(extra) if rng.random() < 0.3 else chr(rng.randrange(*rng.choice(ranges))) for _ in range(rng.randint(1, 30))) for _ in range(20_000)]
+    texts += ["Ali\u0130, ve DEN\u0130.", *(chr(c) + "," for c in range(0xC0, 0x250)), *(f"a{chr(c)}b!? {chr(c)}" for c in range(0xC0, 0x250))]
+    encoder = tokenfiles.LibraryEncoder(WORD_BPE)
+    for start in range(0, len(texts), 500):
+        part = texts[start : start + 500]
+        want = library.encode_batch(part, add_special_tokens=False)
+        for text, got, w in zip(part, encoder.packed(part, END_ID), want, strict=True):
+            assert np.frombuffer(got, encoder.kind).tolist() == [*w.ids, END_ID], text
+
+
 def test_files_equal_the_library(spark, library):
     docs = spark.createDataFrame([(k, t, 1) for k, t in ROWS], "doc_id long, text string, start int")
     files = tokenfiles.write(docs, WORD_BPE, END_ID)
