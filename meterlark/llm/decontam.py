@@ -265,8 +265,10 @@ def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> It
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "held_items") -> DataFrame:
     """All rows and columns of `docs`, with what each holds of the benchmark in column `to`.
 
-    `to` is an array of structs: item_id, shared and windows (of the item), values and agreeing.
+    `to` must not be among them; it is an array of structs: item_id (bigint), shared and windows (of the item), values and agreeing.
     """
+    if to in docs.columns:
+        raise ValueError(f"the column {to} is in the way")
     kind = "array<struct<item_id: bigint, shared: int, windows: int, values: int, agreeing: int>>"
     out = docs.withColumn(to, F.expr(f"cast(array() as {kind})"))
     at, last = docs.columns.index(text), len(docs.columns)

@@ -12,7 +12,7 @@ driver are counts per feature and cells of histograms, whose numbers are fixed.
 
 A null text counts as empty, null metadata as a value of its own; whole texts are read. Rows that
 repeat count and are scored each. Without labels of both classes every score is the share of good
-labels (1 without labels), so nothing is rejected blindly. Extra columns are passed through by
+labels (1 without labels) and `Model.known` is false; a caller that rejects by score should then not. Extra columns are passed through by
 `score`; names that start with `_q_` are reserved.
 """
 
@@ -111,6 +111,11 @@ class Model:
     meta: list[float] = field(default_factory=list)
     mix: tuple[float, float, float] = (0.0, 0.0, 20.0)
 
+    @property
+    def known(self) -> bool:
+        """Whether there were labels of both classes."""
+        return bool(self.content)
+
 
 def _margin(numbers: str, weights: list[float]) -> Column:
     table = F.lit([float(w) for w in weights])

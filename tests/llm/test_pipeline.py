@@ -96,3 +96,41 @@ def test_empty_documents(spark, corpus, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def small(spark, folder, labels, n=20, extra=""):
+    """Ordinary documents, one of them very long and one twice, with columns of clashing names."""
+    rng = random.Random(2)
+    rows = [(k, " ".join(rng.choice("abcdefgh") * rng.randint(2, 7) for _ in range(40)), "en", "s", 9, 1, 2, 3) for k in range(n)]
+    rows[3] = (3, rows[3][1] + " long words" * 40_000, *rows[3][2:])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _toxic int, _score int, _held int")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return docs
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_labels_of_one_class_reject_only_their_own_documents(spark, tmp_path, label):
+    docs = small(spark, tmp_path, [(k, 1 - label, label) for k in range(5)])
+    for stage in (pipeline.without_toxic, pipeline.of_good_quality):
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(5 * label, 20))
+
+
+def test_no_labels_and_clashing_columns(spark, tmp_path):
+    docs = small(spark, tmp_path, [])
+    for _, stage in pipeline.STAGES[:4]:
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns and kept.count() == 20
+    assert pipeline.run(spark, str(tmp_path)).count() == 20
+
+
+def test_repeated_and_null_ids(spark, tmp_path):
+    docs = small(spark, tmp_path, [(k, k % 2, k % 2) for k in range(10)])
+    odd = docs.unionAll(docs.limit(5)).unionAll(docs.selectExpr("cast(null as long)", "null", *docs.columns[2:]).limit(2))
+    for name, stage in pipeline.STAGES[:4]:
+        kept = stage(spark, odd, str(tmp_path)).collect()
+        assert all(r.doc_id is None or 0 <= r.doc_id < 20 for r in kept), name
+    assert sum(r.doc_id is None for r in pipeline.without_near_copies(spark, odd, str(tmp_path)).collect()) == 2
