@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stages before it have kept.
 All but the last return the columns of their input. Null and empty texts are scored like any
 other text, are near copies of nothing and hold nothing, and are encoded to no ids. Of rows that
-repeat an id, the near-duplicate stage keeps one. An empty table passes through as one.
+repeat an id, the near-duplicate stage keeps one. An empty table passes through as one. Documents
+may have further columns; the names `_q_content` and `_q_meta` are reserved.
 """
 
 from __future__ import annotations
@@ -20,16 +21,37 @@ from meterlark.session import materialize
 TOXIC_FROM, GOOD_FROM = 0.5, 0.5
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _not_labelled(spark: SparkSession, docs: DataFrame, sf_dir: str, label: str, rejected: int) -> DataFrame:
+    """Documents whose own label is not the rejected one; of contradicting labels the largest counts."""
+    labels = table(spark, sf_dir, "labels").where("doc_id is not null").groupBy("doc_id").agg(F.max(label).alias("_own"))
+    ids = labels.where(F.col("_own") == rejected).select("doc_id")
+    few = ids.count() <= toxicity.BROADCAST_LABELS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(docs.columns)
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is not scored as toxic."""
+    """Documents whose text is not scored as toxic. Without labels of both classes only a document's own label counts."""
     model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic"))
-    return toxicity.score(docs, model, to="_toxic").where(F.col("_toxic") < TOXIC_FROM).drop("_toxic")
+    if not model.known:
+        return _not_labelled(spark, docs, sf_dir, "toxic", 1)
+    column = _free(docs, "_toxic")
+    return toxicity.score(docs, model, to=column).where(F.col(column) < TOXIC_FROM).drop(column)
 
 
 def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that both views together do not score as bad."""
+    """Documents that both views together do not score as bad. Without labels of both classes only a document's own label counts."""
     model = quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels"), F.lit(True)))
-    return quality.score(docs, model, to="_q_score").where(F.col("_q_score") >= GOOD_FROM).drop("_q_score")
+    if not model.known:
+        return _not_labelled(spark, docs, sf_dir, "quality", 0)
+    column = _free(docs, "_score")
+    return quality.score(docs, model, to=column).where(F.col(column) >= GOOD_FROM).drop(column)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +61,9 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    marked = decontam.mark(docs, table(spark, sf_dir, "benchmark"), to="_held")
-    return marked.where(F.size("_held") == 0).drop("_held")
+    column = _free(docs, "_held")
+    marked = decontam.mark(docs, table(spark, sf_dir, "benchmark"), to=column)
+    return marked.where(F.size(column) == 0).drop(column)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
