@@ -10,12 +10,13 @@ INT_RANGE = (-(2**31), 2**31 - 1)
 
 
 def round_half_away(value: Column, digits: int) -> Column:
-    """Round like SQL numeric: exact ties go away from zero. Values too wide for the decimal pass through.
+    """Round like SQL numeric: a double has 15 significant digits, and exact ties go away from zero.
 
-    With 18 decimals the cast keeps every digit that a double near 1 has, so it does not round first.
+    Values too wide for the decimal, NaN and the infinities pass through.
     """
-    exact = F.round(value.try_cast("decimal(38,18)"), digits).cast("double")
-    return F.coalesce(exact, value.cast("double"))
+    number = value.cast("double")
+    exact = F.round(F.format_string("%.14e", number).try_cast("decimal(38,18)"), digits).cast("double")
+    return F.coalesce(exact, number)
 
 
 def round_half_even(value: Column, digits: int) -> Column:

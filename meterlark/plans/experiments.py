@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from meterlark import schemas as S
 from meterlark.functions.scalar import is_close
 from meterlark.operators import features as FE
 from meterlark.operators.quantiles import exact_quantiles
+from meterlark.plans import forests, leastsquares
 from meterlark.session import materialize
 
 BASELINE = "Median Baseline"
@@ -30,13 +31,13 @@ CONTEXT = [
 
 @dataclass(frozen=True)
 class Forest:
-    """Forest settings. The depth has no default, since it cuts the trees; Spark allows 30 levels.
+    """Forest settings. Without a depth the trees grow until every leaf is pure (`plans.forests`).
 
-    `parts` is how many parts the training rows are cut into, by key and in key order. The
-    draws of a forest follow rows and parts, so it is a setting, not a property of the machine.
+    With a depth (up to 30) they are MLlib's and stop there; `parts` is then how many parts the
+    training rows are cut into, by key and in key order, since the draws follow rows and parts.
     """
 
-    depth: int
+    depth: int | None = None
     trees: int = 100
     seed: int = FE.SEED
     memory_mb: int = 512
@@ -89,30 +90,22 @@ def largest_errors(
     )
 
 
-def _estimators(forest: Forest) -> list[tuple[str, object, bool]]:
-    """Model name, unfit estimator, and whether it learns log1p of the target."""
+LINEAR = {"Linear Regression": False, "Linear Regression log1p": True}
+FORESTS = {"Random Forest": False, "Random Forest log1p": True}
+#: Order of the models, with whether they learn log1p of the target.
+MODELS = [("Linear Regression", False), ("Random Forest", False), ("Linear Regression log1p", True), ("Random Forest log1p", True)]
 
-    def linear():
-        # One solver for every width of the encoding.
-        return LinearRegression(featuresCol="features", regParam=0.0, solver="l-bfgs", maxIter=100, tol=1e-7)
 
-    def trees():
-        return RandomForestRegressor(
-            featuresCol="features",
-            numTrees=forest.trees,
-            maxDepth=forest.depth,
-            minInstancesPerNode=1,
-            featureSubsetStrategy="all",
-            maxMemoryInMB=forest.memory_mb,
-            seed=forest.seed,
-        )
-
-    return [
-        ("Linear Regression", linear(), False),
-        ("Random Forest", trees(), False),
-        ("Linear Regression log1p", linear(), True),
-        ("Random Forest log1p", trees(), True),
-    ]
+def _limited_trees(forest: Forest) -> RandomForestRegressor:
+    return RandomForestRegressor(
+        featuresCol="features",
+        numTrees=forest.trees,
+        maxDepth=forest.depth,
+        minInstancesPerNode=1,
+        featureSubsetStrategy="all",
+        maxMemoryInMB=forest.memory_mb,
+        seed=forest.seed,
+    )
 
 
 def spread(df: DataFrame, key: str, parts: int) -> DataFrame:
@@ -122,11 +115,14 @@ def spread(df: DataFrame, key: str, parts: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class FittedSet:
-    """The encoder and models fitted on the training rows of one feature set."""
+    """The models fitted on the training rows of one feature set."""
 
     name: str
-    encoder: PipelineModel
-    models: list[tuple[str, object, bool]]
+    linear: leastsquares.LeastSquares | None
+    grown: dict[str, forests.Trees]
+    limited: dict[str, object]
+    encoder: PipelineModel | None
+    depth: int | None
 
 
 def fit_feature_set(
@@ -136,25 +132,29 @@ def fit_feature_set(
     target: str = S.TARGET,
     only: Sequence[str] | None = None,
 ) -> FittedSet:
-    """Fit the encoder once and each model on the training rows."""
+    """Fit each model on the training rows."""
     chosen = FE.FEATURE_SETS[feature_set]
-    train = FE.select_features(frame, feature_set, target, [S.KEY, "is_test"])
-    train = spread(train.where(~F.col("is_test")), S.KEY, forest.parts)
-    encoder = FE.build_encoder(chosen["categorical"], chosen["numeric"]).fit(train)
-    encoded = (
-        encoder.transform(train)
-        .select("features", F.col(target).alias("y"), F.log1p(target).alias("log_y"))
-        .persist()
-    )
+    columns = chosen["categorical"], chosen["numeric"]
+    train = FE.select_features(frame, feature_set, target, [S.KEY, "is_test"]).where(~F.col("is_test"))
+    wanted = [name for name, _ in MODELS if only is None or name in only]
+    linear = None
+    if any(name in LINEAR for name in wanted):
+        linear = leastsquares.fit(train, [F.col(target), F.log1p(target)], *columns)
+    trees = {name: FORESTS[name] for name in wanted if name in FORESTS}
+    if forest.depth is None:
+        grown = {}
+        for name, log in trees.items():
+            rows = train.withColumn("_y", F.log1p(target) if log else F.col(target))
+            grown[name] = forests.fit(rows, S.KEY, "_y", *columns, trees=forest.trees, seed=forest.seed)
+        return FittedSet(feature_set, linear, grown, {}, None, None)
+    rows = spread(train, S.KEY, forest.parts)
+    encoder = FE.build_encoder(*columns).fit(rows)
+    encoded = encoder.transform(rows).select("features", F.col(target).alias("y"), F.log1p(target).alias("log_y")).persist()
     try:
-        models = [
-            (name, model.setLabelCol("log_y" if log else "y").fit(encoded), log)
-            for name, model, log in _estimators(forest)
-            if only is None or name in only
-        ]
+        limited = {name: _limited_trees(forest).setLabelCol("log_y" if log else "y").fit(encoded) for name, log in trees.items()}
     finally:
         encoded.unpersist()
-    return FittedSet(feature_set, encoder, models)
+    return FittedSet(feature_set, linear, {}, limited, encoder, forest.depth)
 
 
 def predict(
@@ -162,22 +162,33 @@ def predict(
 ) -> DataFrame:
     """Predictions of the baseline and every fitted model for the test rows, one row per model.
 
-    `middle` is the training median.
+    `middle` is the training median; `depth` is that of the deepest tree of a forest.
     """
-    test = fitted.encoder.transform(frame.where(F.col("is_test")))
-    entries = [(BASELINE, middle)]
-    for i, (name, model, log) in enumerate(fitted.models):
-        column = f"_p{i}"
-        test = model.setPredictionCol(column).transform(test)
-        entries.append((name, F.expm1(column) if log else F.col(column)))
+    test = frame.where(F.col("is_test"))
+    if fitted.linear:
+        test = fitted.linear.with_predictions(test, list(LINEAR))
+    for name, model in fitted.grown.items():
+        test = forests.with_predictions(model, test, name)
+    if fitted.limited:
+        test = fitted.encoder.transform(test)
+        for name, model in fitted.limited.items():
+            test = model.setPredictionCol(name).transform(test)
+    entries = [(BASELINE, middle, None)]
+    for name, log in MODELS:
+        if name in test.columns:
+            depth = fitted.depth if name in fitted.limited else None
+            if name in fitted.grown:
+                depth = fitted.grown[name].nodes().agg(F.max("depth")).first()[0]
+            entries.append((name, F.expm1(F.col(name)) if log else F.col(name), depth))
     per_model = F.array(
         *[
             F.struct(
                 F.lit(sequence * 100 + i).alias("sequence"),
                 F.lit(name).alias("model_name"),
                 value.alias("predicted"),
+                F.lit(depth).cast("int").alias("depth"),
             )
-            for i, (name, value) in enumerate(entries)
+            for i, (name, value, depth) in enumerate(entries)
         ]
     )
     return test.select(
@@ -211,14 +222,15 @@ def run_grid(
 
 
 def results_table(predictions: DataFrame, forest: Forest | None = None) -> DataFrame:
-    """Scores per experiment, in the order the experiments ran, with the forest's settings if given."""
-    table = scores(predictions, ["sequence", "feature_set", "model_name"])
+    """Scores per experiment, in the order the experiments ran, with the trees and depth of forests if `forest` is given."""
+    names = ["sequence", "feature_set", "model_name"]
+    table = scores(predictions, names)
     label = F.concat("model_name", F.lit(" ("), "feature_set", F.lit(")"))
     if forest:
-        grown = F.startswith(F.col("model_name"), F.lit("Random Forest"))
-        table = table.withColumns(
-            {"trees": F.when(grown, forest.trees), "depth": F.when(grown, forest.depth)}
-        )
+        depths = predictions.groupBy(*names).agg(F.max("depth").alias("depth"))
+        trees = F.when(F.col("model_name").isin(list(FORESTS)), forest.trees).alias("trees")
+        # One row per experiment.
+        table = table.join(F.broadcast(depths), names).select(*table.columns, trees, "depth")
     return table.withColumn("label", label).orderBy("sequence")
 
 

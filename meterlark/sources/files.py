@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from meterlark import schemas as S
+from meterlark.sources.quoted import read_quoted
 
 
 # Quotes inside a text are doubled, as spreadsheets write them.
@@ -17,12 +18,14 @@ def read_raw_csv(
 ) -> DataFrame:
     """Raw sheet saved as CSV, every column as text. `columns` lists all columns in file order.
 
-    Texts may hold line breaks; for that a file is read by one task. Turn `multi_line` off for
-    large files that are known to have none.
+    Texts may hold line breaks (see `sources.quoted`). Turn `multi_line` off for files that are
+    known to have none; they are then read in one pass.
     """
+    if multi_line:
+        return read_quoted(spark, path, S.raw_sheet(columns), CSV_OPTIONS, check_header=True)
     return (
         spark.read.schema(S.raw_sheet(columns))
-        .options(**CSV_OPTIONS, enforceSchema=False, multiLine=multi_line)
+        .options(**CSV_OPTIONS, enforceSchema=False)
         .csv(path)
     )
 
@@ -58,7 +61,9 @@ def read_csv(
 ) -> DataFrame:
     """What `write_csv` wrote; see `read_raw_csv` for `multi_line`."""
     # A blank field is NULL anyway; with this marker a quoted empty text is not.
-    options = {**CSV_OPTIONS, "multiLine": multi_line, "nullValue": "\0"}
+    options = {**CSV_OPTIONS, "nullValue": "\0"}
+    if multi_line:
+        return read_quoted(spark, path, schema, options)
     return spark.read.schema(schema).options(**options).csv(path)
 
 

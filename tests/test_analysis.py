@@ -76,7 +76,7 @@ def test_water_types_and_scores(buildings, energy):
 
 def test_weather_gap_and_missing_readings(buildings, energy):
     gaps = analysis.weather_gap(buildings, energy).select("ewrb_id", "diff").collect()
-    assert [tuple(r) for r in gaps] == [("2", 1.5), ("3", 0.01), ("1", -0.5)]
+    assert [tuple(r) for r in gaps] == [("2", 1.5), ("3", 0.0), ("1", -0.5)]
     missing = analysis.missing_readings(buildings, energy).select("ewrb_id", "reporting_year")
     assert pairs(missing) == [("1", 2023), ("2", 2024), ("3", 2024), ("4", 2024), ("5", 2024)]
 

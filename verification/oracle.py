@@ -65,8 +65,13 @@ def with_raw(body: str, bad_scores: bool = False) -> str:
     return f"WITH raw AS ({views.raw_sheet(bad_scores)}) {body}"
 
 
+def rounded_number(value: str, digits: int) -> str:
+    """A double's 15 significant digits, then ties away from zero."""
+    return f"cast(round(cast(printf('%.14e', cast({value} AS double)) AS decimal(38, 18)), {digits}) AS double)"
+
+
 def rounded_mean(column: str, digits: int) -> str:
-    return f"cast(round(cast(avg({column}) AS decimal(38, 18)), {digits}) AS double)"
+    return rounded_number(f"avg({column})", digits)
 
 
 def lenient(column: str) -> str:
@@ -326,8 +331,7 @@ def statements() -> dict[str, str]:
             FROM {JOINED} WHERE e.energy_star_score IS NOT NULL GROUP BY b.primary_property_type"""),
         "q06_weather_gap": with_tables(f"""
             SELECT b.ewrb_id, b.city, e.{TARGET}, e.weather_normalized_site_eui_gj_m2,
-                   cast(round(cast(e.{TARGET} - e.weather_normalized_site_eui_gj_m2
-                                   AS decimal(38, 18)), 2) AS double) AS diff
+                   {rounded_number(f"(e.{TARGET} - e.weather_normalized_site_eui_gj_m2)", 2)} AS diff
             FROM {JOINED}
             WHERE e.{TARGET} IS NOT NULL AND e.weather_normalized_site_eui_gj_m2 IS NOT NULL"""),
         "q07_missing_readings": with_tables(f"""
@@ -567,6 +571,26 @@ def statements() -> dict[str, str]:
                    round(predicted, 6) AS predicted, round(actual - predicted, 6) AS error,
                    round(abs(actual - predicted), 6) AS absolute_error
             FROM p ORDER BY abs(actual - predicted) DESC, ewrb_id LIMIT 10"""),
+        "csv_line_breaks": "SELECT doc_id, text, lang FROM documents",
+        "forest_training_means": with_split(f"""
+            , rows AS (SELECT *, {ENGINEERED} FROM split WHERE NOT is_test)
+            SELECT ewrb_id, round(avg({TARGET}) OVER (
+                PARTITION BY {', '.join(categorical)}, n_property_types, is_certified, has_data_center), 6) AS predicted
+            FROM rows"""),
+        "least_squares_metrics": with_split(f"""
+            , rows AS (SELECT *, {ENGINEERED} FROM split),
+            means AS (SELECT primary_property_type AS kind, avg({TARGET}) AS predicted FROM rows WHERE NOT is_test GROUP BY 1),
+            line AS (SELECT regr_slope({TARGET}, n_property_types) AS b, regr_intercept({TARGET}, n_property_types) AS a
+                     FROM rows WHERE NOT is_test),
+            p AS (
+                SELECT 'category' AS features, {TARGET} AS actual, m.predicted
+                FROM rows JOIN means m ON rows.primary_property_type IS NOT DISTINCT FROM m.kind WHERE is_test
+                UNION ALL
+                SELECT 'number', {TARGET}, a + b * n_property_types FROM rows, line WHERE is_test)
+            SELECT features, count(*) AS n, round(avg(abs(actual - predicted)), 6) AS mae,
+                   round(sqrt(avg((actual - predicted) ** 2)), 6) AS rmse,
+                   round(1 - avg((actual - predicted) ** 2) / var_pop(actual), 6) AS r2
+            FROM p GROUP BY 1"""),
         "baseline_consistency": with_split(f"""{BASELINE}
             SELECT 'Median Baseline' AS model_name, round(mae, 6) AS mae_v1, round(mae, 6) AS mae_v2,
                    round(rmse, 6) AS rmse_v1, round(rmse, 6) AS rmse_v2,

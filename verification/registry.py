@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterlark import schemas as S
 from meterlark.operators import clean, distribution, features, profile, quality, ranking
 from meterlark.operators.quantiles import exact_quantiles
-from meterlark.plans import analysis, dataset, experiments
+from meterlark.plans import analysis, dataset, experiments, forests, leastsquares
 from meterlark.session import fresh_path, materialize
 from meterlark.sources import files, load
 from verification import views
@@ -599,6 +599,18 @@ def onehot_features(spark, sf_dir):
     )
 
 
+# Quoted texts with line breaks
+
+
+@register
+def csv_line_breaks(spark, sf_dir):
+    """Texts with line breaks, quotes and commas, through CSV files that many tasks read."""
+    rows = views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = fresh_path(spark, "csv")
+    files.write_csv(rows, path)
+    return files.read_csv(spark, path, rows.schema)
+
+
 # Experiments
 
 
@@ -615,7 +627,7 @@ def largest_errors_baseline(spark, sf_dir):
     return rounded(experiments.largest_errors(experiments.median_predictions(frame)))
 
 
-FOREST = experiments.Forest(depth=10)
+FOREST = experiments.Forest()
 _GRIDS: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -647,6 +659,28 @@ def baseline_consistency(spark, sf_dir):
     return rounded(experiments.baseline_consistency(experiments.results_table(grid(spark, sf_dir))))
 
 
+@register
+def forest_training_means(spark, sf_dir):
+    """One tree over all training rows, grown to its end, gives each row the mean of the rows with its features."""
+    chosen = features.FEATURE_SETS["v2"]
+    train = materialize(prepared(spark, sf_dir).where(~F.col("is_test")).select(S.KEY, S.TARGET, *chosen["categorical"], *chosen["numeric"]), "train")
+    tree = forests.fit(train, S.KEY, S.TARGET, chosen["categorical"], chosen["numeric"], trees=1, bagged=False)
+    return rounded(forests.with_predictions(tree, train, "predicted").select(S.KEY, "predicted"))
+
+
+@register
+def least_squares_metrics(spark, sf_dir):
+    """Scores of least squares on one category, and on one number."""
+    frame = materialize(prepared(spark, sf_dir).select("primary_property_type", "n_property_types", S.TARGET, "is_test"), "prepared")
+    train, test = frame.where(~F.col("is_test")), frame.where("is_test")
+    parts = []
+    for name, columns in (("category", (["primary_property_type"], [])), ("number", ([], ["n_property_types"]))):
+        model = leastsquares.fit(train, [F.col(S.TARGET)], *columns)
+        found = model.with_predictions(test, ["predicted"]).select(F.lit(name).alias("features"), F.col(S.TARGET).alias("actual"), "predicted")
+        parts.append(found)
+    return rounded(experiments.scores(parts[0].unionByName(parts[1]), ["features"]))
+
+
 # The reports over predictions that SQL makes, the same in both engines.
 
 
