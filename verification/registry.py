@@ -605,7 +605,7 @@ def onehot_features(spark, sf_dir):
 @register
 def csv_line_breaks(spark, sf_dir):
     """Texts with line breaks, quotes and commas, through CSV files that many tasks read."""
-    rows = views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     path = fresh_path(spark, "csv")
     files.write_csv(rows, path)
     return files.read_csv(spark, path, rows.schema)
