@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from meterlark import schemas as S
 from meterlark.operators.clean import enforce_lengths, enforce_present, null_out_nan
 from meterlark.operators.quality import orphan_summary
 from meterlark.session import materialize
 from meterlark.sources.files import read_table
+from meterlark.sources.snapshots import Log, Snapshot, read_snapshot
 
 
 def _all_present(keys: Sequence[str]) -> Column:
@@ -82,13 +82,15 @@ def with_dense_id(df: DataFrame, name: str, order: Sequence[str], start: int = 1
     )
 
 
-def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    try:
-        return read_table(spark, path, schema).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+#: The tables of a load, as folders and in the log.
+BUILDINGS, MEASURES = "buildings", "energy_performance"
+LOADED = {BUILDINGS: S.BUILDINGS, MEASURES: S.ENERGY_WITH_ID}
+
+
+def read_loaded(spark: SparkSession, folder: str, number: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Buildings and measures of the last published state, or of an earlier one by its number."""
+    tables = read_snapshot(spark, folder, LOADED, number)
+    return tables[BUILDINGS], tables[MEASURES]
 
 
 def load_tables(
@@ -101,42 +103,69 @@ def load_tables(
 ) -> tuple[DataFrame, DataFrame]:
     """Load the new buildings and the new measures, and return both tables. Runs jobs.
 
-    The order columns tell which of several rows with one key came first. Both batches are
-    staged in the shared folder and validated before anything is published; a broken rule raises
-    there and leaves both tables as they were. Buildings are then published before measures, each
-    by one Spark write job whose output only appears when the whole job succeeds, so that no
-    reader meets a measure without its building. Measures get ids that go on after the largest
-    one loaded. They are stored by year, and only the batch's years are read to find known keys.
-    Loads of one folder must not overlap.
+    The order columns tell which of several rows with one key came first. Both batches are written
+    to fresh folders and validated, and one manifest then publishes both at once (see `snapshots`): a
+    broken rule, a failed job or a killed driver before that leaves both tables as they were, for
+    every reader of `read_loaded`. Loads may overlap. One that finds its number taken drops what
+    it wrote and begins again from the newer state, so known keys stay known and ids unique.
+    Measures get ids that go on after the largest one loaded, which the manifest remembers. They are
+    stored by year, and only the batch's years are read to find known keys. A batch without new
+    rows publishes nothing.
     """
-    building_path, energy_path = f"{folder}/buildings", f"{folder}/energy_performance"
-    known = _existing(spark, building_path, S.BUILDINGS)
+    log = Log(spark, folder)
+    while True:
+        before = log.adopt(LOADED, "performance_id")
+        made = {BUILDINGS: log.fresh(BUILDINGS), MEASURES: log.fresh(MEASURES)}
+        published = None
+        try:
+            counts = _write_batches(log, before, made, buildings, energy, building_order, energy_order)
+            tables = {t: before.tables.get(t, []) + ([made[t]] if counts[t] else []) for t in made}
+            after = Snapshot(before.number + 1, tables, before.next_id + counts[MEASURES])
+            if not any(counts.values()):
+                published = before
+            elif log.publish(after):
+                published = after
+        finally:
+            for table, name in made.items():
+                if published is None or name not in published.tables.get(table, []):
+                    log.remove(f"{log.folder}/{name}")
+        if published is not None:
+            return log.read(published, BUILDINGS, S.BUILDINGS), log.read(published, MEASURES, S.ENERGY_WITH_ID)
+
+
+def _write_batches(
+    log: Log,
+    before: Snapshot,
+    made: dict[str, str],
+    buildings: DataFrame,
+    energy: DataFrame,
+    building_order: Sequence[str],
+    energy_order: Sequence[str],
+) -> dict[str, int]:
+    """Write both batches of new rows, check them, and return their numbers of rows."""
+    known = log.read(before, BUILDINGS, S.BUILDINGS)
     checked = enforce_lengths(enforce_present(buildings.select(*S.BUILDINGS.names, *_extra(building_order, S.BUILDINGS)), [S.KEY]))
-    new_buildings = insert_if_absent(checked, known, [S.KEY], building_order)
-    new_buildings = materialize(new_buildings.select(*S.BUILDINGS.names), "building-batch")
+    new_buildings = insert_if_absent(checked, known if before.tables.get(BUILDINGS) else None, [S.KEY], building_order)
+    new_buildings.select(*S.BUILDINGS.names).write.parquet(f"{log.folder}/{made[BUILDINGS]}")
+    new_buildings = read_table(log.spark, f"{log.folder}/{made[BUILDINGS]}", S.BUILDINGS)
 
     measures = null_out_nan(energy.select(*S.ENERGY.names, *_extra(energy_order, S.ENERGY)))
     measures = enforce_lengths(measures, {S.KEY: S.TEXT_LIMITS[S.KEY]})
-    stored = _existing(spark, energy_path, S.ENERGY_WITH_ID)
-    start, present = 1, None
-    if stored is not None:
-        start = (stored.agg(F.max("performance_id")).first()[0] or 0) + 1
+    present = None
+    if before.tables.get(MEASURES):
         # One row per year.
         years = [r[S.YEAR] for r in measures.select(S.YEAR).distinct().collect()]
-        present = stored.where(F.col(S.YEAR).isin([y for y in years if y is not None]))
+        present = log.read(before, MEASURES, S.ENERGY_WITH_ID).where(F.col(S.YEAR).isin([y for y in years if y is not None]))
     new_measures = insert_if_absent(measures, present, [S.KEY, S.YEAR], energy_order)
     order = list(dict.fromkeys([S.KEY, S.YEAR, *energy_order]))
-    new_measures = with_dense_id(new_measures, "performance_id", order, start)
-    new_measures = materialize(new_measures.select(*S.ENERGY_WITH_ID.names), "energy-batch")
-    parents = new_buildings if known is None else known.unionByName(new_buildings)
-    orphans = orphan_summary(new_measures, parents, S.KEY).first()["orphan_rows"]
+    new_measures = with_dense_id(new_measures, "performance_id", order, before.next_id)
+    new_measures = new_measures.select(*S.ENERGY_WITH_ID.names)
+    new_measures.write.partitionBy(S.YEAR).parquet(f"{log.folder}/{made[MEASURES]}")
+    new_measures = read_table(log.spark, f"{log.folder}/{made[MEASURES]}", S.ENERGY_WITH_ID)
+    orphans = orphan_summary(new_measures, known.unionByName(new_buildings), S.KEY).first()["orphan_rows"]
     if orphans:
         raise ValueError(f"{orphans} energy rows refer to a building that is not loaded")
-
-    new_buildings.write.mode("append").parquet(building_path)
-    new_measures.write.mode("append").partitionBy(S.YEAR).parquet(energy_path)
-    stored = read_table(spark, energy_path, S.ENERGY_WITH_ID)
-    return read_table(spark, building_path, S.BUILDINGS), stored.select(*S.ENERGY_WITH_ID.names)
+    return {BUILDINGS: new_buildings.count(), MEASURES: new_measures.count()}
 
 
 def _extra(order: Sequence[str], schema) -> list[str]:
