@@ -2,21 +2,22 @@
 
 Texts are cut into lower-case words without punctuation. Numbers, units after a number, and
 names (words with one capital that do not begin a sentence) become typed placeholders. Line breaks
-do not end a sentence. The first word of an item counts both as it stands and as a name, since what
-comes before it in a document is not known. Where a document is in capitals throughout a window,
-the item's names are compared as they are. A copy in lower case has lost its names and is not
-found where they matter. A document
-holds an item if it has at least SHARE of the item's distinct windows of WORDS template words, and
-if the values behind the placeholders agree: a value that comes several times in the item must, in
-SHARE of its places at least, stand for one value of the document: the same one in exact copies,
-another one in questions with new parameters.
+do not end a sentence, and dashes between words are no words. The first word of an item counts both
+as it stands and as a name, since what comes before it in a document is not known. What is a name
+depends on capitals and on the word before, so every window is also compared with its names as plain
+words: copies in lower case, in capitals or with other sentence ends are found by these. A document
+holds an item if it has at least SHARE of the item's distinct windows of WORDS template words in one
+of the readings, and if the values behind the placeholders agree: a value that comes several times in
+the item, as a name anywhere or at the start of a sentence, must, in SHARE of its places at least,
+stand for one value of the document: the same one in exact copies, another one in questions with new
+parameters.
 
 The benchmark is the query set. It is compared with all documents in blocks of at most
 BLOCK_WINDOWS windows, whose hashes are joined in the tasks that read the documents; documents are
 never shuffled. Window hashes have 64 bits.
 
-Null texts count as empty. Empty texts and texts of fewer than WORDS words hold nothing, and items
-of fewer than WORDS words are held by nothing. A text of any length is searched whole. Rows and
+Null texts count as empty. Empty texts hold nothing. Items of fewer than WORDS words have no window:
+they are held by the texts that consist of the same words, and by no others. A text of any length is searched whole. Rows and
 items that repeat are judged each; an empty benchmark leaves every document clean. All columns of
 the documents are passed through by `mark`.
 """
@@ -60,6 +61,7 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[list(b"0123456789")] = True
 _POINT = np.zeros(256, bool)
 _POINT[list(b".,:")] = True
+_DASH = ord("-")
 _NUMERIC = _DIGIT | _POINT
 _NUMERIC[list(b"+-$%/")] = True
 
@@ -90,23 +92,30 @@ class Words:
     def value(self, at: int) -> bytes:
         return self.data[self.starts[at] : self.ends[at]]
 
-    def in_capitals(self, at: int) -> bool:
-        """Whether the window at a position has no small letter."""
-        window = self.raw[self.starts[at] : self.ends[at + WORDS - 1]].decode("utf-8", "replace")
-        return window == window.upper()
+    def unnamed(self) -> np.ndarray:
+        """Hash of each window with its names as plain words, by position."""
+        return self.windows(np.where(self.kinds == NAME, self.hashes, self.template))
 
-    def others(self) -> list[tuple[int, int, bool]]:
-        """(hash, position, whether only for capitals) of windows that may read otherwise in a document."""
+    def whole(self) -> tuple[int, ...]:
+        """The plain words of a short text."""
+        return tuple(self.hashes.tolist())
+
+    def slots(self) -> np.ndarray:
+        """Whether each word has a value: placeholders, and words that are names elsewhere in the text."""
+        return (self.kinds > 0) | np.isin(self.hashes, self.hashes[self.kinds == NAME])
+
+    def others(self) -> list[tuple[int, int]]:
+        """(hash, position) of windows that may read otherwise in a document."""
         out = []
         if len(self.template) >= WORDS and self.kinds[0] == 0:
             word = self.raw[self.starts[0] : self.ends[0]].decode("utf-8", "replace")
             if word[0].isupper() and word[1:] == word[1:].lower() and len(word) > 1:
                 begun = self.template[:WORDS].copy()
                 begun[0] = _RANDOM[520 + NAME]
-                out.append((int(self.windows(begun)[0]), 0, False))
+                out.append((int(self.windows(begun)[0]), 0))
         if (self.kinds == NAME).any():
-            literal = self.windows(np.where(self.kinds == NAME, self.hashes, self.template))
-            out += [(int(literal[k]), int(k), True) for k in np.flatnonzero(literal != self.windows())]
+            plain = self.unnamed()
+            out += [(int(plain[k]), int(k)) for k in np.flatnonzero(plain != self.windows())]
         return out
 
 
@@ -130,6 +139,9 @@ def words_of(text: str) -> Words:
     wall = np.concatenate([[True], gap, [True]])
     edge = np.flatnonzero(wall[1:] != wall[:-1])
     starts, ends = edge[::2], edge[1::2]
+    worded = np.concatenate([[0], np.cumsum(data != _DASH)])
+    apart = worded[ends] > worded[starts]
+    starts, ends = starts[apart], ends[apart]
     if not len(starts):
         none = np.zeros(0, np.uint64)
         return Words(low, raw, starts, ends, none, np.zeros(0, np.uint8), none)
@@ -177,28 +189,38 @@ class Block:
         self.keys, self.item, self.place = flat[order], item[order], place[order]
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.keys >> np.uint64(44)] = True
-        # Other readings: (index of the window's first key, item, place, whether only for capitals) by hash.
-        self.others: dict[int, list[tuple[int, int, int, bool]]] = defaultdict(list)
+        # Other readings: (index of the window's first key, item, place) by hash.
+        self.others: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        self.short: dict[tuple[int, ...], list[int]] = defaultdict(list)
         for i, w in enumerate(self.words):
-            for key, at, capitals in w.others():
-                self.others[key].append((int(np.searchsorted(self.keys, windows[i][at])), i, at, capitals))
+            for key, at in w.others():
+                self.others[key].append((int(np.searchsorted(self.keys, windows[i][at])), i, at))
+            if 0 < len(w.hashes) < WORDS:
+                self.short[w.whole()].append(i)
         self.other_keys = np.sort(np.fromiter(self.others, np.uint64, len(self.others)))
         self.maybe[self.other_keys >> np.uint64(44)] = True
 
     def held(self, text: str) -> list[tuple[int, int, int, int, int]]:
         """(item id, windows of the item that the text has, all its windows, values, agreeing values) of each item held."""
         words = words_of(text)
-        windows = words.windows()
-        if not len(windows) or not len(self.keys):
+        if len(words.hashes) < WORDS:
+            return [(self.ids[i], 1, 1, 0, 0) for i in self.short.get(words.whole(), ())]
+        if not len(self.keys):
             return []
+        windows, places = words.windows(), np.arange(len(words.hashes) - WORDS + 1)
+        if (words.kinds == NAME).any():
+            plain = words.unnamed()
+            other = np.flatnonzero(plain != windows)
+            windows, places = np.concatenate([windows, plain[other]]), np.concatenate([places, other])
         some = np.flatnonzero(self.maybe[windows >> np.uint64(44)])
-        low = np.searchsorted(self.keys, windows[some], "left")
-        high = np.searchsorted(self.keys, windows[some], "right")
+        windows, some = windows[some], places[some]
+        low = np.searchsorted(self.keys, windows, "left")
+        high = np.searchsorted(self.keys, windows, "right")
         again = []
         if len(self.other_keys):
-            place = np.minimum(np.searchsorted(self.other_keys, windows[some]), len(self.other_keys) - 1)
-            for at in some[self.other_keys[place] == windows[some]].tolist():
-                again += [(at, *o[:3]) for o in self.others[int(windows[at])] if not o[3] or words.in_capitals(at)]
+            place = np.minimum(np.searchsorted(self.other_keys, windows), len(self.other_keys) - 1)
+            for k in np.flatnonzero(self.other_keys[place] == windows).tolist():
+                again += [(int(some[k]), *o) for o in self.others[int(windows[k])]]
         hit = high > low
         some, low, high = some[hit], low[hit], high[hit]
         if not len(some) and not again:
@@ -233,7 +255,8 @@ class Block:
 
         Only the run of hits that covers most of the item counts, one copy of it in the text.
         """
-        if not (item.kinds > 0).any():
+        slots = item.slots()
+        if not slots.any():
             return 0, 0
         runs = Counter((at - place) // max(1, 2 * len(item.hashes)) for at, place in hits)
         run = max(runs, key=lambda r: (runs[r] + runs.get(r + 1, 0), -r))
@@ -241,7 +264,7 @@ class Block:
         for at, place in hits:
             if (at - place) // max(1, 2 * len(item.hashes)) in (run, run + 1):
                 for k in range(WORDS):
-                    if item.kinds[place + k]:
+                    if slots[place + k]:
                         seen[place + k][text.value(at + k)] += 1
         usual: dict[bytes, Counter] = defaultdict(Counter)
         for place, found in seen.items():
