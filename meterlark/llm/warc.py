@@ -244,16 +244,21 @@ class WarcReader(DataSourceReader):
         http = fields.get("content-type", "").startswith("application/http")
         if not (self.payload or self.verify or http):
             return out
-        block = rest()[:length]
+        revisit = fields.get("warc-type") == "revisit"
+        if not (self.payload or self.verify):
+            block = b""
+            while b"\r\n\r\n" not in block and (more := rest(4096)):
+                block += more
+        else:
+            block = rest(length)
         body = block
         if http:
-            head, _, body = block.partition(b"\r\n\r\n")
-            stated = _fields(head).get("content-length")
-            out["payload_bytes"] = int(stated) if stated else len(body)
+            head, gap, body = block.partition(b"\r\n\r\n")
+            stated = _fields(head).get("content-length") if revisit else None
+            out["payload_bytes"] = int(stated) if stated else length - len(head) - len(gap)
         else:
             out["payload_bytes"] = len(body)
-        if fields.get("warc-type") != "revisit":
-            out["payload_bytes"] = len(body)
+        if not revisit and (self.payload or self.verify):
             if self.verify and digest and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
                 raise ValueError(f"the payload of {fields.get('warc-record-id')} has another digest than stated")
             if self.payload:
@@ -279,69 +284,127 @@ def _fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines) if k}
 
 
+def _length(head: bytes, offset: int) -> int:
+    stated = _fields(head).get("content-length", "")
+    if not head.startswith(b"WARC/") or not stated.isdigit():
+        raise ValueError(f"no record begins at byte {offset}")
+    return int(stated)
+
+
 def _plain(f) -> Iterator:
-    """(offset, headers, function that returns the block) of each record of a plain file."""
+    """(offset, headers, function that returns the next bytes of the block) of each record of a plain file."""
     end, offset = f.size(), 0
     while offset < end:
         f.seek(offset)
-        head = b""
-        while b"\r\n\r\n" not in head:
+        head, more = b"", b"-"
+        while b"\r\n\r\n" not in head.lstrip(b"\r\n") and more:
             more = f.read(4096)
-            if not more:
-                return
             head += more
-        start = head.index(b"\r\n\r\n") + 4
-        length = int(_fields(head[:start])["content-length"])
-
-        def rest(at=offset + start, n=length):
-            f.seek(at)
-            return f.read(n)
+        blank = len(head) - len(head.lstrip(b"\r\n"))
+        if blank == len(head):
+            offset += len(head)
+            continue
+        offset, head = offset + blank, head[blank:]
+        start = head.find(b"\r\n\r\n") + 4
+        if start < 4:
+            raise ValueError(f"the record at byte {offset} has no end of headers")
+        length = _length(head[:start], offset)
+        if offset + start + length > end:
+            raise ValueError(f"the record at byte {offset} is cut")
+        left = [offset + start, length]
+
+        def rest(n, left=left):
+            f.seek(left[0])
+            data = f.read(min(n, left[1]))
+            left[:] = left[0] + len(data), left[1] - len(data)
+            return data
 
         yield offset, head[: start - 4], rest
-        offset += start + length + 4
+        offset += start + length
+
+
+class _Member:
+    """The inflated bytes of a gzip member, as far as they are asked for."""
+
+    def __init__(self, f, offset: int) -> None:
+        self.f, self.offset, self.at = f, offset, offset
+        self.inflate = zlib.decompressobj(16 + zlib.MAX_WBITS)
+        self.raw, self.data = b"", bytearray()
+
+    def fill(self, n: int) -> bool:
+        """Hold at least n bytes; False if the member ends before."""
+        while len(self.data) < n and not self.inflate.eof:
+            if not self.raw:
+                self.f.seek(self.at)
+                self.raw = self.f.read(4096 if self.at == self.offset else 1 << 16)
+                self.at += len(self.raw)
+            ended = not self.raw
+            try:
+                more = self.inflate.decompress(self.raw, max(4096, n - len(self.data)))
+            except zlib.error as error:
+                raise ValueError(f"the member at byte {self.offset} is broken: {error}") from error
+            self.raw = self.inflate.unconsumed_tail
+            if ended and not more and not self.inflate.eof:
+                raise ValueError(f"the member at byte {self.offset} is cut")
+            self.data += more
+        return len(self.data) >= n
+
+    def head(self) -> bytes | None:
+        """Headers of the next record, with the blank line; None at the end of the member."""
+        while self.fill(1) and self.data[0] in b"\r\n":
+            del self.data[0]
+        while self.data:
+            at = self.data.find(b"\r\n\r\n")
+            if at >= 0:
+                return self.take(at + 4)
+            held = len(self.data)
+            if not self.fill(held + 4096) and len(self.data) == held:
+                raise ValueError(f"a record in the member at byte {self.offset} has no end of headers")
+        return None
+
+    def take(self, n: int) -> bytes:
+        if not self.fill(n):
+            raise ValueError(f"a record in the member at byte {self.offset} is cut")
+        data = bytes(self.data[:n])
+        del self.data[:n]
+        return data
+
+    def end(self) -> int:
+        """Where the next member begins; the member was read to its end."""
+        return self.at - len(self.inflate.unused_data)
 
 
 def _gzipped(f) -> Iterator:
-    """The same for a file of gzip members."""
+    """The same for a file of gzip members, whose offset counts for each of their records.
+
+    Members that state their length, as `member` writes them, hold one record and are skipped
+    without being inflated. Others may hold any number of records.
+    """
     end, offset = f.size(), 0
     while offset < end:
         f.seek(offset)
         first = f.read(24)
-        total = None
-        if first[:4] == b"\x1f\x8b\x08\x04" and first[12:14] == b"SL":
-            total = struct.unpack("<Q", first[16:24])[0]
-        inflate = zlib.decompressobj(16 + zlib.MAX_WBITS)
-        data, raw = b"", first
-        while b"\r\n\r\n" not in data and not inflate.eof:
-            data += inflate.decompress(raw, 4096)
-            raw = inflate.unconsumed_tail or (f.read(4096 if total is None else min(4096, max(0, offset + total - f.tell()))) if not inflate.eof else b"")
-            if not raw and not inflate.eof:
-                break
-        start = data.find(b"\r\n\r\n")
-        if start < 0:
-            return
-        state = {"data": data, "raw": raw, "read": f.tell()}
-
-        def rest(state=state, inflate=inflate, start=start, total=total, offset=offset):
-            f.seek(state["read"])
-            parts, raw = [state["data"][start + 4 :]], state["raw"]
-            while not inflate.eof:
-                parts.append(inflate.decompress(raw))
-                if inflate.eof:
-                    break
-                raw = f.read(1 << 16 if total is None else min(1 << 16, offset + total - f.tell()))
-                if not raw:
-                    break
-            state["read"], state["raw"] = f.tell(), b""
-            return b"".join(parts)
-
-        yield offset, data[:start], rest
-        if total is not None:
-            offset += total
+        if not first.strip(b"\0"):
+            offset += len(first)
             continue
-        if not inflate.eof:
-            rest()
-        offset = state["read"] - len(inflate.unused_data)
+        total = struct.unpack("<Q", first[16:24])[0] if first[:4] == b"\x1f\x8b\x08\x04" and first[12:14] == b"SL" and len(first) == 24 else None
+        if total is not None and offset + total > end:
+            raise ValueError(f"the member at byte {offset} is cut")
+        member = _Member(f, offset)
+        while (head := member.head()) is not None:
+            left = [_length(head, offset)]
+
+            def rest(n, left=left, member=member):
+                data = member.take(min(n, left[0]))
+                left[0] -= len(data)
+                return data
+
+            yield offset, head[:-4], rest
+            if total is not None:
+                break
+            while left[0]:
+                rest(1 << 16)
+        offset = member.end() if total is None else offset + total
 
 
 def read(spark: SparkSession, files: DataFrame | str, payload: bool = True, verify: bool = False, **wanted: list[str]) -> DataFrame:

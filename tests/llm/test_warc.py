@@ -86,3 +86,36 @@ def test_empty_table(spark):
 def test_query_over_a_table(spark, sf_dir):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
     assert sorted(map(tuple, queries.op2_warc(spark, sf_dir).collect()), key=repr) == expected(rows)
+
+
+def archive(n=5):
+    return [warc.record_bytes(k, f"u{k}", b"x" * (k * 9000), hashlib.sha1(b"x" * (k * 9000)).hexdigest(), "response", None) for k in range(n)]
+
+
+def test_members_of_many_records_and_mixed_archives_are_read_whole(spark, tmp_path):
+    records = archive()
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    (tmp_path / "mixed.warc.gz").write_bytes(gzip.compress(records[0] + records[1]) + gzip.compress(b"") + warc.member(records[2]) + gzip.compress(b"".join(records[3:])) + bytes(40))
+    (tmp_path / "noise.warc.gz").write_bytes(b"".join(gzip.compress(r, level) for r, level in zip(records, (0, 1, 6, 9, 0), strict=True)))
+    (tmp_path / "plain.warc").write_bytes(b"".join(records) + b"\r\n\r\n")
+    for payload in (True, False):
+        got = warc.read(spark, str(tmp_path), payload=payload, verify=payload).select("file", "target_uri", "payload_bytes", F.length("payload").alias("n")).collect()
+        want = [(f, f"u{k}", k * 9000, k * 9000 if payload else None) for f in ("mixed.warc.gz", "noise.warc.gz", "one.warc.gz", "plain.warc") for k in range(5)]
+        assert sorted((r.file.split("/")[-1], r.target_uri, r.payload_bytes, r.n) for r in got) == want
+    assert warc.read(spark, str(tmp_path / "one.warc.gz"), target_uri=["u3", "u4"]).count() == 2
+
+
+def test_cut_and_broken_archives_are_errors(spark, tmp_path):
+    records = archive()
+    own, foreign = b"".join(map(warc.member, records)), b"".join(map(gzip.compress, records))
+    broken = bytearray(foreign)
+    broken[len(foreign) - len(gzip.compress(records[4])) + 30] ^= 255
+    bad = {
+        "own.warc.gz": own[:-20], "foreign.warc.gz": foreign[:-20], "single.warc.gz": gzip.compress(b"".join(records))[:-300], "plain.warc": b"".join(records)[:-20],
+        "headless.warc.gz": gzip.compress(records[0]) + gzip.compress(b"WARC/1.0\r\nno blank line") + gzip.compress(records[1]), "broken.warc.gz": bytes(broken),
+        "short.warc.gz": gzip.compress(records[1][:-50]), "text.warc": b"not an archive\r\n\r\nat all",
+    }
+    for name, data in bad.items():
+        (tmp_path / name).write_bytes(data)
+        with pytest.raises(Exception, match="is cut|is broken|no end of headers|no record begins"):
+            warc.read(spark, str(tmp_path / name)).collect()
