@@ -93,19 +93,14 @@ def _boxes(
     """Reads `df` three times in all, so write an expensive one first."""
     x = F.col(value)
     usable = x > 0 if positive_only else x.isNotNull()
-    counts = (
-        df.where(F.col(category).isNotNull())
-        .groupBy(category)
-        .agg(F.count("*").alias("n_in_category"), F.count_if(usable).alias("_usable"))
-    )
+    counts = df.where(F.col(category).isNotNull()).groupBy(category).agg(F.count("*").alias("n_in_category"))
     top = counts.orderBy(F.col("n_in_category").desc(), F.col(category).asc()).limit(top_n)
     # Broadcast: at most top_n rows.
     top = F.broadcast(materialize(top, "top"))
-    largest = top.agg(F.max("_usable")).first()[0] or 0
     values = df.where(usable).join(top.select(category), category, "left_semi")
     wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    quartiles = exact_quantiles(values, value, wanted, [category], max_rows, largest)
-    return _Boxes(top.drop("_usable"), values, with_fences(quartiles))
+    quartiles = exact_quantiles(values, value, wanted, [category], max_rows)
+    return _Boxes(top, values, with_fences(quartiles))
 
 
 def box_stats(

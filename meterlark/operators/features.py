@@ -156,8 +156,7 @@ def exact_split(
         return df.withColumn("is_test", F.lit(False))
     leading = _leading(digest, 13)
     rows = materialize(df.select(leading.alias("_x")), "digests")
-    sizes = rows.agg(F.count("*").alias("n"))
-    found = values_at_ranks(rows, sizes, (), [F.lit(n_test - 1)], max_rows).first()
+    found = values_at_ranks(rows, (), [F.lit(n_test - 1).cast("bigint")], max_rows).first()
     bound, missing = found["_value"], n_test - found["_below"]
     if missing == found["_same"]:
         return df.withColumn("is_test", leading <= bound)

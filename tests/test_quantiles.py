@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from meterlark.operators import features, ranking
+from meterlark.operators import features, quantiles, ranking
 from meterlark.operators.quantiles import exact_quantiles
 from meterlark.operators.ranking import rank_within, top_k, top_k_matched
 from tests.conftest import pairs
@@ -125,3 +125,52 @@ def test_exact_split_has_the_exact_size(spark, n):
     assert direct.where("is_test").count() == -(-n // 5)
     counted = features.exact_split(df.repartition(5), "k", max_rows=2)
     assert pairs(counted) == pairs(direct)
+
+
+@pytest.mark.parametrize(("size", "grid"), [(8, 4), (8, 64), (64, 16)])
+def test_quantiles_from_rough_sketches(frame, monkeypatch, size, grid):
+    """Brackets of a rough sketch hold more rows, and fewer of them hold their rank; the results are the same."""
+    want = by_name(exact_quantiles(frame, "x", PROBABILITIES, ["g"]))
+    monkeypatch.setattr(quantiles, "SKETCH_SIZE", size)
+    monkeypatch.setattr(quantiles, "GRID", grid)
+    assert by_name(exact_quantiles(frame, "x", PROBABILITIES, ["g"])) == want
+
+
+def test_a_bracket_that_misses_its_rank_is_searched(frame, monkeypatch):
+    """Grids of another column's quantiles mislead all ranks but the ends."""
+    want = by_name(exact_quantiles(frame, "x", PROBABILITIES, ["g"]))
+    right = quantiles._sketched
+
+    def misled(rows, by):
+        shifted = F.transform("_grid", lambda q: q * 0 + F.col("_hi"))
+        return right(rows, by).withColumn("_grid", shifted)
+
+    monkeypatch.setattr(quantiles, "_sketched", misled)
+    assert by_name(exact_quantiles(frame, "x", PROBABILITIES, ["g"])) == want
+
+
+def test_quantiles_equal_sorted_lists(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice([None, "a", "b"]), draw.choice([draw.gauss(0, 1), float(draw.randint(0, 3))])) for _ in range(20000)]
+    got = by_name(exact_quantiles(spark.createDataFrame(rows, "g string, x double"), "x", PROBABILITIES, ["g"]))
+    for group in (None, "a", "b"):
+        values = sorted(x for g, x in rows if g == group)
+        assert got[group]["n"] == len(values)
+        for name, p in PROBABILITIES.items():
+            at = p * (len(values) - 1)
+            low, high = values[math.floor(at)], values[math.ceil(at)]
+            assert got[group][name] == pytest.approx(low + (high - low) * (at - math.floor(at)), abs=1e-12)
+
+
+def test_two_reads_of_the_rows(spark, tmp_path):
+    """Whatever the size of a group, its rows are read by the sketch and by the counts only."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(300000).select((F.rand(1) * 1e6).alias("x")).mapInArrow(counted, "x double")
+    assert exact_quantiles(df, "x", {"m": 0.5}).first()["n"] == 300000
+    assert reads.value == 600000

@@ -532,6 +532,10 @@ def statements() -> dict[str, str]:
         "hash_split": with_split("SELECT ewrb_id, is_test FROM split"),
         "exact_split": with_known(split_query("known", "ewrb_id")),
         "exact_split_large": split_query("orders", "o_orderkey"),
+        "frequent_key_join": """
+            SELECT l_orderkey, l_linenumber, key, s_name
+            FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS key FROM lineitem) l
+            JOIN supplier ON s_suppkey = key""",
         "report_scores": f"{REPORT} SELECT sequence, feature_set, model_name, n, {SCORES}, label FROM results",
         "report_best": f"""{REPORT}
             SELECT 'mae' AS metric, arg_min(label, (mae, sequence)) AS label, round(min(mae), 6) AS value,

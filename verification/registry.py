@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlark import schemas as S
+from meterlark.functions.joins import join_frequent
 from meterlark.operators import clean, distribution, features, profile, quality, ranking
 from meterlark.operators.quantiles import exact_quantiles
 from meterlark.plans import analysis, dataset, experiments, forests, leastsquares
@@ -599,6 +600,18 @@ def onehot_features(spark, sf_dir):
     )
 
 
+# A join on a key that a third of the rows share
+
+
+@register
+def frequent_key_join(spark, sf_dir):
+    """Order lines and their suppliers, where the lines of every third order have one supplier."""
+    supplier = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_suppkey")).cast("bigint")
+    rows = views.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, supplier.alias("key"))
+    parents = views.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("key"), "s_name")
+    return join_frequent(rows, parents, ["key"], frequent=1000)
+
+
 # Quoted texts with line breaks
 
 

@@ -125,6 +125,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 
 # Given here so that no job has to look into the files for them.
 SCHEMAS = {
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
