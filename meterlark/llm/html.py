@@ -353,7 +353,8 @@ def winning_paths(pages: DataFrame, url: str = "url", page: str = "html") -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), *voted], ["host", "path", "spanning"])
 
     votes = pages.select(host(url).alias("host"), page).mapInArrow(run, "host string, path string, spanning boolean").where("path is not null")
-    counts = votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.bool_or("spanning").alias("spanning"))
+    # Written once: both the totals and the paths read it, and pages are parsed for it.
+    counts = materialize(votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.bool_or("spanning").alias("spanning")), "votes")
     # At most 1 / FAIR_SHARE paths and the best one are left of a host.
     totals = counts.groupBy("host").agg(F.sum("n").alias("all"), F.min(F.struct(-F.col("n"), F.length("path"), "path")).alias("best"))
     fair = counts.join(totals, "host").where(f"n >= {FAIR_SHARE} * all or path = best.path")
