@@ -5,7 +5,8 @@ takes away most of the squared error. Candidates whose gains differ by less than
 (or NOISE of the node's spread) count as equal, and then the first column and smallest value win,
 so that trees do not depend on the order in which sums are taken.
 
-Rows with equal features are points: a tree works on the total weight and target of each point.
+Rows with equal features are points: a tree works on the total weight and target of each point. Each
+task adds these up for its rows and all trees, so that only sums are shuffled, not drawn rows.
 Nodes with more than `small` points are split by Spark, all trees together and level by level: one
 aggregate over (tree, node, column, value), and the points are sent on by a join with the chosen
 splits. Every other node is grown to its end inside one task, by exact splits, and becomes one row
@@ -21,7 +22,7 @@ one of its own; null numbers count as the smallest.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,6 +43,10 @@ TIE, NOISE = 1e-9, 1e-13
 PORTION = 50_000
 #: Splits of one level up to this number are broadcast, more are joined by a shuffle.
 BROADCAST_SPLITS = 200_000
+#: Combinations of features up to this number are broadcast, more are joined by a shuffle.
+BROADCAST_POINTS = 100_000
+#: Rows times trees that a task draws at once, sums that it holds before it hands them on, and hands on at once.
+CELLS, HELD, EMITTED = 1_000_000, 4_000_000, 200_000
 #: Tree and node of a point, its categories and numbers.
 ROOT = 0
 
@@ -73,25 +78,69 @@ def _features(categorical: Sequence[str], numeric: Sequence[str]) -> list[Column
     return [F.array(*texts).cast("array<string>").alias("cats"), F.array(*numbers).cast("array<double>").alias("nums")]
 
 
-def _draw(key: str, tree: Column, seed: int) -> Column:
+def _drawn(hashes: np.ndarray) -> np.ndarray:
     """How often a row is drawn for a tree: Poisson with mean 1, from a hash."""
-    uniform = F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string"), tree, F.lit(seed)), 11) / float(1 << 53)
-    below, term, total = F.lit(0), math.exp(-1), 0.0
-    for k in range(1, 18):
-        total += term
-        below = below + (uniform >= total).cast("int")
-        term /= k
-    return below
+    shares = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(17)])
+    return np.searchsorted(shares, (hashes.view(np.uint64) >> np.uint64(11)) / float(1 << 53), "right")
+
+
+#: What becomes of the weights, targets, least and largest targets of a point's rows.
+_ADDED = (np.add, np.add, np.minimum, np.maximum)
+
+
+def _by_point(points: np.ndarray, columns: Sequence[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Each point once, and what its rows in `columns` (one column per tree) come to."""
+    order = np.argsort(points, kind="stable")
+    names, first = np.unique(points[order], return_index=True)
+    return names, *(add.reduceat(c[order], first, axis=0) for add, c in zip(_ADDED, columns, strict=True))
 
 
 def points(rows: DataFrame, key: str, target: str, categorical: Sequence[str], numeric: Sequence[str], trees: int, seed: int, bagged: bool) -> DataFrame:
-    """(tree, node, cats, nums, w, s, low, high): total weight and target of the rows with equal features, and their range."""
-    number = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    each = rows.select(F.col(key).alias("_key"), F.col(target).cast("double").alias("y"), *_features(categorical, numeric), number)
-    each = each.withColumn("w", _draw("_key", F.col("tree"), seed) if bagged else F.lit(1)).where("w > 0")
-    return each.groupBy("tree", F.lit(ROOT).cast("long").alias("node"), "cats", "nums").agg(
-        F.sum(F.col("w").cast("double")).alias("w"), F.sum(F.col("w") * F.col("y")).alias("s"), F.min("y").alias("low"), F.max("y").alias("high")
-    )
+    """(tree, node, cats, nums, w, s, low, high): total weight and target of the rows with equal features, and their range; runs jobs.
+
+    Each task draws its rows for all trees at once and hands on what it has added up for each point.
+    """
+    each = rows.select(F.col(key).cast("string").alias("_key"), F.col(target).cast("double").alias("y"), *_features(categorical, numeric))
+    named = materialize(each.select("cats", "nums").distinct().select(F.monotonically_increasing_id().alias("point"), "cats", "nums"), "named-points")
+    named = _bounded(named, BROADCAST_POINTS)
+    hashes = F.array(*(F.xxhash64("_key", F.lit(t), F.lit(seed)) for t in range(trees if bagged else 0))).cast("array<long>")
+    each = each.join(named, ["cats", "nums"]).select("point", "y", hashes.alias("hashes"))
+
+    def emitted(held: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        names, w, s, low, high = held
+        at, tree = np.nonzero(w)
+        for k in range(0, len(at), EMITTED):
+            some = at[k : k + EMITTED], tree[k : k + EMITTED]
+            without = low[some] > high[some]
+            columns = [pa.array(some[1].astype(np.int32)), pa.array(names[some[0]]), pa.array(w[some])]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c[some], mask=without) for c in (s, low, high))], ["tree", "point", "w", "s", "low", "high"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        step = max(1, CELLS // trees)
+        for batch in batches:
+            for part in (batch.slice(k, step) for k in range(0, batch.num_rows, step)):
+                n = part.num_rows
+                y = part.column(1).fill_null(0.0).to_numpy(zero_copy_only=False)[:, None]
+                w = _drawn(part.column(2).flatten().to_numpy()).reshape(n, trees) if bagged else np.ones((n, trees), np.int64)
+                used = (w > 0) & part.column(1).is_valid().to_numpy(zero_copy_only=False)[:, None]
+                columns = w.astype(float), np.multiply(w, y, out=np.zeros(w.shape), where=used), np.where(used, y, np.inf), np.where(used, y, -np.inf)
+                held.append(_by_point(part.column(0).to_numpy(), columns))
+                if sum(h[1].size for h in held) > HELD:
+                    held = [_merged(held)]
+                    if held[0][1].size > HELD // 2:
+                        yield from emitted(held.pop())
+        if held:
+            yield from emitted(_merged(held))
+
+    added = each.mapInArrow(run, "tree int, point long, w double, s double, low double, high double").groupBy("tree", "point")
+    sums = added.agg(F.sum("w").alias("w"), F.sum("s").alias("s"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return sums.join(named, "point").select("tree", F.lit(ROOT).cast("long").alias("node"), "cats", "nums", "w", "s", "low", "high")
+
+
+def _merged(held: Sequence[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    names, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
+    return _by_point(names, columns)
 
 
 # ---------------------------------------------------------------- splits by Spark
@@ -132,9 +181,9 @@ def _level(open_points: DataFrame, totals: DataFrame) -> DataFrame:
     return materialize(chosen.select("tree", "node", "c.*"), "splits")
 
 
-def _bounded(small: DataFrame) -> DataFrame:
+def _bounded(small: DataFrame, most: int = BROADCAST_SPLITS) -> DataFrame:
     """Per-node tables are as many rows as there are large nodes: broadcast while that is little."""
-    return F.broadcast(small) if small.count() <= BROADCAST_SPLITS else small
+    return F.broadcast(small) if small.count() <= most else small
 
 
 def _middle(a: str, b: str) -> Column:

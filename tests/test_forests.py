@@ -118,3 +118,30 @@ def test_one_value_and_no_rows(spark):
         assert {r.p for r in forests.with_predictions(model, same, "p").collect()} == {2.0}
     none = forests.fit(same.where("false"), "id", "y", ["a"], [], trees=2)
     assert {r.p for r in forests.with_predictions(none, same, "p").collect()} == {None}
+
+
+@pytest.mark.parametrize("held", [4_000_000, 40])
+def test_points_are_added_up_in_the_tasks(spark, monkeypatch, held):
+    """Sums over drawn rows, for rows without key or target too, and no row of its own for each drawn row."""
+    monkeypatch.setattr(forests, "HELD", held)
+    monkeypatch.setattr(forests, "CELLS", 60)
+    rows = [(None if k % 9 == 0 else k // 2, *r[1:5], None if k % 7 == 0 or r[1] == "p" else r[5]) for k, r in enumerate(rows_of(6, 120))]
+    df = frame(spark, rows).repartition(3)
+    found = forests.points(df, "id", "y", ["a", "b"], ["x"], 4, 11, True)
+    assert "Generate" not in found._jdf.queryExecution().toString()
+    drawn = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("tree"))
+    drawn = drawn.select("tree", "a", "b", "x", "y", (F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string"), "tree", F.lit(11)), 11) / float(1 << 53)).alias("u"))
+    want = {}
+    for r in drawn.collect():
+        w = sum(r.u >= sum(math.exp(-1) / math.factorial(i) for i in range(k)) for k in range(1, 18))
+        if w:
+            name = r.tree, *("-" if v is None else "+" + v for v in (r.a, r.b)), float(r.x)
+            want.setdefault(name, []).append((w, r.y))
+    got = {(r.tree, *r.cats, *r.nums): r for r in found.collect()}
+    assert got.keys() == want.keys() and {r.node for r in got.values()} == {0}
+    for name, each in want.items():
+        ys = [y for _, y in each if y is not None]
+        r = got[name]
+        assert r.w == sum(w for w, _ in each)
+        assert (r.low, r.high) == (min(ys, default=None), max(ys, default=None))
+        assert r.s == (pytest.approx(sum(w * y for w, y in each if y is not None)) if ys else None)
