@@ -38,7 +38,7 @@ def _not_labelled(spark: SparkSession, docs: DataFrame, sf_dir: str, label: str,
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is not scored as toxic. Without labels of both classes only a document's own label counts."""
-    model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic"))
+    model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic"), pairs=True)
     if not model.known:
         return _not_labelled(spark, docs, sf_dir, "toxic", 1)
     column = _free(docs, "_toxic")

@@ -51,7 +51,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     train = toxicity.labelled(docs, table(spark, sf_dir, "labels"), "toxic").where(toxicity.fold() != 0)
-    scored = toxicity.score(docs, toxicity.fit(train))
+    scored = toxicity.score(docs, toxicity.fit(train, pairs=True))
     return scored.select(
         "doc_id",
         F.coalesce(toxicity.fold() == 0, F.lit(False)).alias("held_out"),

@@ -113,3 +113,60 @@ def test_the_table_grows_with_the_words(spark):
     single = [(w, 1) for w in toxic] + [(w, 0) for w in plain]
     got = toxicity._scored(spark.createDataFrame([(f"never{k} {w}", y) for k, (w, y) in enumerate(single)], "text string, y int"), "text", model)
     assert got.where("_mean != 0 and (_mean > 0) = (y = 1)").count() >= 0.99 * len(single)
+
+
+def brute_after(train, asked):
+    """(peak, mean) of each text by the formulas of all three levels, from the texts' sets of pairs."""
+    seen = {0: Counter(), 1: Counter()}
+    for text, label in train:
+        words = text.lower().split()
+        seen[label].update(set(zip([None, *words], words, strict=False)))
+    k = {c: Counter(v for _, v in pairs) for c, pairs in {**seen, 2: seen[0] | seen[1]}.items()}
+    d = {0: toxicity.DISCOUNT, 1: toxicity.DISCOUNT, 2: toxicity.SHARED_DISCOUNT}
+    total = {c: sum(n.values()) for c, n in k.items()}
+    left = {c: sum(min(n, d[c]) for n in k[c].values()) / total[c] for c in k}
+
+    def likely(c, u, v):
+        after = {w: n for (x, w), n in seen[c].items() if x == u}
+        shared = max(k[2][v] - d[2], 0) / total[2] + left[2] / (1 + len(k[2]))
+        word = max(k[c][v] - d[c], 0) / total[c] + left[c] * shared
+        if not after:
+            return word
+        taken = sum(min(n, toxicity.PAIR_DISCOUNT) for n in after.values())
+        return (max(after.get(v, 0) - toxicity.PAIR_DISCOUNT, 0) + taken * word) / sum(after.values())
+
+    out, s = [], toxicity.STRETCH
+    for text in asked:
+        words = text.lower().split()
+        x = [math.log(likely(1, u, v) / likely(0, u, v)) for u, v in zip([None, *words], words, strict=False)]
+        out.append((max(sum(x[i : i + s]) / s for i in range(max(1, len(x) - s + 1))), sum(x) / max(s, len(x))))
+    return out
+
+
+def test_scores_of_pairs_equal_the_formulas(spark):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(9)]
+    rows = [(k, " ".join(rng.choice(words[: 9 - 4 * (k % 2)]) for _ in range(rng.randint(0, 12))), k % 2) for k in range(200)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5)
+    model = toxicity.fit(train, pairs=True)
+    asked = [t for _, t, _ in rows] + ["never seen w1", "", "W1 w1 W8 never", *(f"{u} {v}" for u in words for v in words)]
+    folds = {r.doc_id: r.f for r in train.select("doc_id", toxicity.fold().alias("f")).collect()}
+    used = [(t, y) for k, t, y in rows if folds[k] != 1]
+    want = dict(zip(asked, brute_after(used, asked), strict=True))
+    assert want != dict(zip(asked, brute(used, asked), strict=True))
+    for r in toxicity._scored(spark.createDataFrame([(t,) for t in asked], "text string"), "text", model).collect():
+        assert (r._peak, r._mean) == pytest.approx(want[r.text], abs=1e-5)
+
+
+def test_words_that_only_their_order_tells_apart(spark):
+    """Both classes hold the same words; in toxic texts one order of two of them is frequent."""
+    rng = random.Random(13)
+    rows = []
+    for k in range(1500):
+        text = [f"w{rng.randrange(30)}" for _ in range(12)]
+        text[3:3] = ["you", "bad"] if k % 2 else ["bad", "you"]
+        rows.append((k, " ".join(text), k % 2))
+    train = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.fit(train.where(toxicity.fold() != 0), pairs=True)
+    got = toxicity.score(train.where(toxicity.fold() == 0), model).collect()
+    assert sum((r.score >= 0.5) == bool(r.label) for r in got) >= 0.95 * len(got)
